@@ -97,91 +97,6 @@ select stream, count(*) as samples,
 from placed group by stream"""
 
 
-_COLOURS, QUANTILES, STATES, WARMUP_FRACTION
-from ..sources.tables import CODES, FIRST_STREAM
-from .queries import CAP, DAY_US, NODES, RATE
-
-
-def _list(codes) -> str:
-    return "[" + ", ".join(f"'{code}'" for code in codes) + "]"
-
-
-VOTES = f"""
-votes as (
-  select concat(cast({FIRST_STREAM} + event_id % 2 as varchar), '-',
-                cast(event_id // 2 as varchar)) as id,
-         {FIRST_STREAM} + event_id % 2 as stream,
-         ({_list(CODES)})[user_id % {len(CODES)} + 1] as state,
-         case when event_type in ('click', 'purchase') then 'D'
-              when event_type = 'error' then 'I' else 'R' end as party,
-         epoch_us(ts) as event_us,
-         epoch_us(ts) + cast(round(value * 1000) as bigint) as arrival_us
-  from events),
-states as (select unnest({_list(STATES)}) as state),
-valid as (select * from votes where state in (select state from states))"""
-
-TOTALS = f"""{VOTES},
-counted as (
-  select state,
-         cast(sum(case when party = 'D' then 1 else 0 end) as bigint) as Dvotes,
-         cast(sum(case when party <> 'D' then 1 else 0 end) as bigint) as Rvotes,
-         max(event_us) as event_us
-  from valid group by state),
-totals as (
-  select s.state, coalesce(c.Dvotes, 0) as Dvotes, coalesce(c.Rvotes, 0) as Rvotes
-  from states s left join counted c on s.state = c.state),
-won as (
-  select state, Dvotes, Rvotes,
-         case when Rvotes > Dvotes then 'Republican' else 'Democrat' end as winner
-  from totals)"""
-
-FLUSHES = f"""{VOTES},
-numbered as (
-  select stream, state, arrival_us // {DAY_US} as tick, party, event_us, arrival_us,
-         (row_number() over (partition by stream, state, arrival_us // {DAY_US}
-                             order by arrival_us, event_us, party = 'D') - 1)
-           // {CAP + 1} as batch
-  from valid),
-partials as (
-  select stream, state, tick, batch,
-         cast(sum(case when party = 'D' then 1 else 0 end) as bigint) as Dvotes,
-         cast(sum(case when party <> 'D' then 1 else 0 end) as bigint) as Rvotes,
-         max(event_us) as event_us,
-         case when count(*) = {CAP + 1} then max(arrival_us)
-              else (tick + 1) * {DAY_US} end as time_us,
-         count(*) = {CAP + 1} as "full"
-  from numbered group by stream, state, tick, batch),
-lat as (
-  select stream, state, tick, batch, time_us, time_us - event_us as latency_us
-  from partials where "full"),
-timed as (
-  select *, time_us - min(time_us) over (partition by stream) as since_start,
-         max(time_us) over (partition by stream)
-           - min(time_us) over (partition by stream) as duration
-  from lat),
-trimmed as (
-  select * from timed where since_start > cast({WARMUP_FRACTION} as double) * duration)"""
-
-
-def _seconds(expression: str) -> str:
-    return f"cast({expression} as double) / cast(1000000 as double)"
-
-
-def _summary(rows: str) -> str:
-    quantiles = ", ".join(
-        f"quantile_cont(cast(latency_us as double), {p}) / cast(1000000 as double)"
-        f" as p{p * 100:g}"
-        for p in QUANTILES
-    )
-    return f"""
-select stream, count(*) as samples,
-       cast(sum(latency_us) as double) / count(*) / cast(1000000 as double) as avg_latency,
-       {_seconds('min(latency_us)')} as min_latency,
-       {_seconds('max(latency_us)')} as max_latency,
-       {quantiles}
-from {rows} group by stream"""
-
-
 _COLOURS = " ".join(
     f"when winner = '{party}' then '{colour}'" for party, colour in PARTY_COLOURS.items()
 )
