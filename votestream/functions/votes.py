@@ -34,8 +34,7 @@ def micros_of_timestamp(ts) -> Column:
     the difference to a zone-less epoch does not.
     """
     elapsed = _col(ts) - F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    exact = elapsed.cast("interval second").cast("decimal(20,6)")
-    return (exact * F.lit(MICROS)).cast("bigint")
+    return F.call_function("div", elapsed, F.expr("interval '0.000001' second"))
 
 
 def floor_div(value, step: int) -> Column:

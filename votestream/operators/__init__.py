@@ -4,6 +4,7 @@ from .auditing import ingest_audit, votes_by_stream_and_state
 from .counting import count_votes, merge_partials, national_totals, seed_totals
 from .dedup import dedup_stream, dedup_votes
 from .flushing import flush_partials
+from .joining import attach, materialise, ordered
 from .latency import (
     by_run,
     in_seconds,
@@ -19,6 +20,7 @@ from .reporting import map_table, winners
 from .validity import rejected_votes, split_valid, valid_votes
 
 __all__ = [
+    "attach",
     "by_run",
     "count_votes",
     "dedup_stream",
@@ -32,8 +34,10 @@ __all__ = [
     "latency_rows",
     "latency_summary",
     "map_table",
+    "materialise",
     "merge_partials",
     "national_totals",
+    "ordered",
     "rejected_votes",
     "relative_time",
     "seed_totals",

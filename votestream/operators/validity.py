@@ -24,7 +24,8 @@ def valid_votes(votes: DataFrame, states: DataFrame | None = None) -> DataFrame:
     listed = _listed(votes, states)
     if states is None:
         listed = F.broadcast(listed)
-    return votes.where(complete).join(listed, "state", "left_semi").drop(*_CARRIED)
+    kept = [c for c in votes.columns if c not in _CARRIED]
+    return votes.where(complete).join(listed, "state", "left_semi").select(*kept)
 
 
 def rejected_votes(votes: DataFrame, states: DataFrame | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ from ..operators import (
     latency_rows,
     latency_summary,
     map_table,
+    materialise,
     merge_partials,
     national_totals,
     rejected_votes,
@@ -131,7 +132,7 @@ def merged_partials(spark, sf_dir):
 
 def ledger_totals(spark, sf_dir):
     ledger = scratch_path(spark, "ledger")
-    flushed = partials(spark, sf_dir)
+    flushed = materialise(partials(spark, sf_dir))
     for batch_id in (0, 1, 1):  # the last one is a replay
         write_partials(flushed.where(F.col("batch") % 2 == batch_id), batch_id, ledger)
     return read_totals(spark, ledger)
@@ -145,8 +146,11 @@ def latencies(spark, sf_dir):
 
 
 def _full_flushes(spark, sf_dir) -> DataFrame:
-    """Latencies without those that waited for the end of a day."""
-    return latency_rows(partials(spark, sf_dir).where("full"))
+    """Latencies without those that waited for the end of a day.
+
+    Statistics pass over them more than once, the flushes are found only once.
+    """
+    return materialise(latency_rows(partials(spark, sf_dir).where("full")))
 
 
 def summary(spark, sf_dir):

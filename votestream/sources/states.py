@@ -7,7 +7,8 @@ from ..schema import STATES
 
 def states_df(spark: SparkSession) -> DataFrame:
     """The built-in list: 50 rows, always, so it is safe to broadcast."""
-    return spark.createDataFrame([(code,) for code in STATES], "state string")
+    listed = ", ".join(f"('{code}')" for code in STATES)
+    return spark.sql(f"select state from values {listed} as listed(state)")
 
 
 def read_states(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ from ..functions import micros_of_seconds, seconds_of_micros, stream_of
 from ..schema import VOTE_JSON
 
 _CORRUPT = "_corrupt"
+_BLANKS = " \t\r\n\f"
 _LENIENT = T.StructType(VOTE_JSON.fields + [T.StructField(_CORRUPT, T.StringType())])
 
 
@@ -17,22 +18,26 @@ def parse_votes(lines: DataFrame, strict: bool = False) -> DataFrame:
     Both leave missing fields as NULL and blank lines ``malformed``, to be told
     apart by ``split_valid``.
     """
-    text = F.trim("value")
+    text = F.trim("value", F.lit(_BLANKS))
     if strict:
         vote = F.from_json(text, VOTE_JSON, {"mode": "FAILFAST"})
-        unreadable = F.lit(False)
     else:
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
         vote = F.from_json(text, _LENIENT, options)
-        unreadable = F.col(f"vote.{_CORRUPT}").isNotNull()
-    return lines.select(vote.alias("vote"), F.col("value").alias("line")).select(
-        "vote.id",
-        "vote.state",
-        "vote.party",
-        "vote.event_time",
-        stream_of("vote.id").alias("stream"),
-        micros_of_seconds("vote.event_time").alias("event_us"),
-        ((F.trim("line") == "") | unreadable).alias("malformed"),
+    # Taken apart by inline, a line is parsed once. As a plain projection it would
+    # be parsed again by every filter that is pushed below it.
+    fields = lines.select(F.col("value").alias("line"), F.inline(F.array(vote)))
+    readable = F.trim("line", F.lit(_BLANKS)) != ""
+    if not strict:
+        readable = readable & F.col(_CORRUPT).isNull()
+    return fields.select(
+        "id",
+        "state",
+        "party",
+        "event_time",
+        stream_of("id").alias("stream"),
+        micros_of_seconds("event_time").alias("event_us"),
+        (~F.coalesce(readable, F.lit(False))).alias("malformed"),
         "line",
     )
 
