@@ -146,22 +146,25 @@ def latency_histogram(
     """Per run, rows in each of ``bins`` equal bins between least and greatest latency.
 
     The last bin includes its upper end, and empty bins are listed. When all
-    latencies of a run are equal they are in the first bin.
+    latencies of a run are equal, the bins span half a second to each side.
     """
     shape = _shape(latencies)
     latencies = latencies.where(F.col(shape.latency).isNotNull())
     least, greatest = F.col("least"), F.col("greatest")
+    margin = F.when(least == greatest, 0.5 * shape.per_second).otherwise(0.0)
     runs = materialise(
-        latencies.groupBy(*keys).agg(
+        latencies.groupBy(*keys)
+        .agg(
             F.min(shape.latency).cast("double").alias("least"),
             F.max(shape.latency).cast("double").alias("greatest"),
         )
+        .select(*keys, (least - margin).alias("least"), (greatest + margin).alias("greatest"))
     )
     value = F.col(shape.latency).cast("double")
     bucket = F.width_bucket(value, least, greatest, F.lit(bins))
     binned = (
         attach(latencies, runs, keys)
-        .select(*keys, F.coalesce(F.least(bucket, F.lit(bins)), F.lit(1)).cast("int").alias("bin"))
+        .select(*keys, F.least(bucket, F.lit(bins)).cast("int").alias("bin"))
         .groupBy(*keys, "bin")
         .agg(F.count(F.lit(1)).alias("frequency"))
     )

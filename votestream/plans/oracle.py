@@ -165,20 +165,23 @@ select stream, state, tick, batch, {_seconds('time_us')} as time,
 from trimmed""",
     "latency_trimmed_summary": f"with {FLUSHES} {_summary('trimmed')}",
     "latency_histogram": f"""with {FLUSHES},
-spans as (
-  select stream, cast(min(latency_us) as double) as least,
-         cast(max(latency_us) as double) as greatest
+ranges as (
+  select stream, cast(min(latency_us) as double) as low,
+         cast(max(latency_us) as double) as high
   from trimmed group by stream),
+spans as (
+  select stream, case when low = high then low - 500000 else low end as least,
+         case when low = high then high + 500000 else high end as greatest
+  from ranges),
 bins as (
   select stream, least, greatest, cast(unnest(range(1, {HISTOGRAM_BINS + 1})) as integer) as bin
   from spans),
 binned as (
   select t.stream,
-         case when s.greatest = s.least then 1
-              else least({HISTOGRAM_BINS},
-                         cast(floor(cast({HISTOGRAM_BINS} as double)
-                              * (cast(t.latency_us as double) - s.least)
-                              / (s.greatest - s.least)) as integer) + 1) end as bin
+         least({HISTOGRAM_BINS},
+               cast(floor(cast({HISTOGRAM_BINS} as double)
+                          * (cast(t.latency_us as double) - s.least)
+                          / (s.greatest - s.least)) as integer) + 1) as bin
   from trimmed t join spans s on t.stream = s.stream)
 select b.stream, b.bin, count(n.bin) as frequency,
        (b.least + (b.bin - 1) * ((b.greatest - b.least) / cast({HISTOGRAM_BINS} as double)))
