@@ -23,19 +23,20 @@ With a cap no group reaches, which is how the default settings work out, nothing
 is ever cut and a single aggregation answers the query.
 """
 
+from functools import reduce
 from math import isqrt
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import floor_div, is_democrat
 from ..schema import MICROS, TICK_SECONDS
-from .joining import BROADCAST_ROWS, attach, materialise
+from .joining import BROADCAST_ROWS, attach, leave_out, materialise
 
 GROUP = ["stream", "state", "tick"]
 ARRIVAL_ORDER = ["arrival_us", "event_us", "democrat"]
 
 # A cut piece with at most this many votes is sorted in one task.
-SORT_ROWS = 1_000_000
+SORT_ROWS = 4_000_000
 # Event slices are this wide, so that one holds a bounded number of distinct votes.
 EVENT_SLICE_US = 1 << 26
 # Time slices are the square root of the tick, so that a tick has about as many
@@ -67,79 +68,84 @@ def flush_partials(
         is_democrat("party").alias("democrat"),
     )
     if cap is None:
-        groups = _count(arrived, GROUP).withColumn("batch", F.lit(0).cast("bigint"))
+        groups = _count(arrived.groupBy(*GROUP)).withColumn("batch", F.lit(0).cast("bigint"))
         return _flush_rows(groups, tick_us, None)
 
     size = cap + 1
     finished, pieces = _cut(arrived, size, tick_us, sort_rows, broadcast_rows)
     if pieces:
-        whole = pieces[0]
-        for piece in pieces[1:]:
-            whole = whole.unionByName(piece)
-        finished = finished.unionByName(_add_up(whole, GROUP + ["batch"]))
+        finished = finished.unionByName(
+            _add_up(reduce(DataFrame.unionByName, pieces), GROUP + ["batch"])
+        )
     return _flush_rows(finished, tick_us, size)
 
 
 def _cut(arrived, size, tick_us, sort_rows, broadcast_rows):
     """Flushes found complete, and pieces of flushes still to be added up."""
     width = isqrt(min(tick_us, LONGEST_TICK_US)) + 1
-    divisions = [
-        [],
-        ["slice"],
-        ["arrival_us"],
-        ["event_slice"],
-        ["event_us", "democrat"],
-    ]
-    remaining = (
-        arrived.withColumn("slice", floor_div("arrival_us", width))
-        .withColumn("event_slice", floor_div("event_us", EVENT_SLICE_US))
-        .withColumn("start", F.lit(0).cast("bigint"))
+    start = F.lit(0).cast("bigint")
+    groups = _cut_by_count(arrived.groupBy(*GROUP), start, size)
+    whole = groups.where("not cut").select(*_PIECE)
+    small, large = _cut_sizes(groups, sort_rows)
+    if small > broadcast_rows:
+        # Most groups are cut: sort all that can be, without looking up which.
+        huge = groups.where(F.col("votes") > sort_rows)
+        whole = huge.where("not cut").select(*_PIECE)
+        sortable = leave_out(arrived, huge.select(*GROUP), GROUP, broadcast_rows)
+        whole = whole.unionByName(_sort_and_cut(sortable.withColumn("start", start), GROUP, size))
+    elif small:
+        facts = groups.where(F.col("cut") & (F.col("votes") <= sort_rows)).select(*GROUP, "start")
+        sortable = attach(arrived, facts, GROUP, broadcast_rows, small)
+        whole = whole.unionByName(_sort_and_cut(sortable, GROUP, size))
+
+    pieces, keys, nodes = [], GROUP, groups
+    remaining = arrived.withColumn("slice", floor_div("arrival_us", width)).withColumn(
+        "event_slice", floor_div("event_us", EVENT_SLICE_US)
     )
-    finished, pieces, keys = None, [], GROUP
-    for division in divisions:
-        parent, keys = keys, keys + division
-        counted = _count(remaining, keys + ["start"])
-        if division:
-            before = (
-                Window.partitionBy(*parent)
-                .orderBy(*division)
-                .rowsBetween(Window.unboundedPreceding, -1)
-            )
-            position = F.col("start") + F.coalesce(F.sum("votes").over(before), F.lit(0))
-            counted = counted.withColumn("start", position)
-        counted = materialise(
-            counted.withColumn("batch", _div("start", size)).withColumn(
-                "last_batch", _div(F.col("start") + F.col("votes") - 1, size)
-            )
-        )
-        inside = counted.where("batch = last_batch").select(*_PIECE)
-        cut = counted.where("batch < last_batch")
-        if division:
-            pieces.append(inside)
-        else:
-            finished = inside
-
-        if division == divisions[-1]:
-            pieces.append(_spread_equal_votes(cut, size))
-            break
-        small = F.col("votes") <= sort_rows
-        sizes = cut.agg(F.count_if(small).alias("small"), F.count_if(~small).alias("large")).first()
-        if not sizes["small"] and not sizes["large"]:
-            break
-        facts = cut.select(*keys, F.col("start").alias("begins"), small.alias("small"))
-        looked_into = attach(
-            remaining.drop("start"), facts, keys, broadcast_rows, sizes["small"] + sizes["large"]
+    for division in (["slice"], ["arrival_us"], ["event_slice"], ["event_us", "democrat"]):
+        if not large:
+            return whole, pieces
+        facts = nodes.where(F.col("cut") & (F.col("votes") > sort_rows)).select(*keys, "start")
+        remaining = attach(remaining, facts, keys, broadcast_rows, large)
+        before = (
+            Window.partitionBy(*keys)
+            .orderBy(*division)
+            .rowsBetween(Window.unboundedPreceding, -1)
         )
-        looked_into = looked_into.withColumnRenamed("begins", "start")
-        if sizes["small"]:
-            pieces.append(_sort_and_cut(looked_into.where("small"), keys, size))
-        if not sizes["large"]:
+        start = F.col("start") + F.coalesce(F.sum("votes").over(before), F.lit(0))
+        keys = keys + division
+        nodes = _cut_by_count(remaining.groupBy(*keys, "start"), start, size)
+        remaining = remaining.drop("start")
+        pieces.append(nodes.where("not cut").select(*_PIECE))
+        if "democrat" in division:
             break
-        remaining = looked_into.where("not small").drop("small")
-    return finished, pieces
+        small, large = _cut_sizes(nodes, sort_rows)
+        if small:
+            facts = nodes.where(F.col("cut") & (F.col("votes") <= sort_rows)).select(*keys, "start")
+            sortable = attach(remaining, facts, keys, broadcast_rows, small)
+            pieces.append(_sort_and_cut(sortable, keys, size))
+    pieces.append(_spread_equal_votes(nodes.where("cut"), size))
+    return whole, pieces
+
+
+def _cut_by_count(grouped, start, size):
+    """Counts per piece, where it starts, and whether a flush boundary cuts it."""
+    return materialise(
+        _count(grouped)
+        .withColumn("start", start)
+        .withColumn("batch", _div("start", size))
+        .withColumn("last_batch", _div(F.col("start") + F.col("votes") - 1, size))
+        .withColumn("cut", F.col("batch") < F.col("last_batch"))
+    )
+
+
+def _cut_sizes(pieces, sort_rows):
+    """How many cut pieces can be sorted, and how many are too large for that."""
+    sortable = F.col("votes") <= sort_rows
+    found = pieces.where("cut").agg(F.count_if(sortable), F.count_if(~sortable)).first()
+    return found[0], found[1]
 
 
-_COUNTS = ["votes", "Dvotes", "Rvotes", "event_us", "arrival_us"]
 _PIECE = GROUP + ["batch"] + ["votes", "Dvotes", "Rvotes", "newest_us", "arrived_us"]
 
 
@@ -147,8 +153,8 @@ def _div(column, step):
     return F.call_function("div", F.col(column) if isinstance(column, str) else column, F.lit(step))
 
 
-def _count(votes, keys):
-    return votes.groupBy(*keys).agg(
+def _count(grouped):
+    return grouped.agg(
         F.count(F.lit(1)).alias("votes"),
         F.count_if("democrat").alias("Dvotes"),
         F.count_if(~F.col("democrat")).alias("Rvotes"),
@@ -171,7 +177,8 @@ def _sort_and_cut(votes, keys, size):
     """Cut pieces small enough to be sorted: number their votes one by one."""
     in_order = Window.partitionBy(*keys).orderBy(*ARRIVAL_ORDER)
     position = F.col("start") + F.row_number().over(in_order) - 1
-    return _count(votes.withColumn("batch", _div(position, size)), GROUP + ["batch"])
+    numbered = votes.withColumn("batch", _div(position, size))
+    return _count(numbered.groupBy(*GROUP, "batch"))
 
 
 def _spread_equal_votes(cut, size):

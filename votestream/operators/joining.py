@@ -39,17 +39,30 @@ def attach(
     """
     if count is None:
         count = facts.limit(broadcast_rows + 1).count()
-    facts = facts.select(*[F.col(k).alias(f"_{k}") for k in keys],
-                         *[c for c in facts.columns if c not in keys])
+    return _join(rows, facts, keys, count <= broadcast_rows, "inner")
+
+
+def leave_out(
+    rows: DataFrame, facts: DataFrame, keys: list[str], broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """``rows`` whose key is not among ``facts``, joined the way ``attach`` does."""
+    few = facts.limit(broadcast_rows + 1).count() <= broadcast_rows
+    return _join(rows, facts.select(*keys), keys, few, "left_anti")
+
+
+def _join(rows, facts, keys, few, how):
+    kept = rows.columns
+    if how == "inner":
+        kept = kept + [c for c in facts.columns if c not in keys]
+    facts = facts.withColumnsRenamed({k: f"_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    if count <= broadcast_rows:
+    if few:
         facts = F.broadcast(facts)
     else:
         rows = rows.withColumn(_SALT, F.spark_partition_id() % SALTS)
         facts = facts.withColumn(f"_{_SALT}", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         same.append(F.col(_SALT) == F.col(f"_{_SALT}"))
-    joined = rows.join(facts, reduce(lambda a, b: a & b, same))
-    return joined.drop(*[f"_{k}" for k in keys], _SALT, f"_{_SALT}")
+    return rows.join(facts, reduce(lambda a, b: a & b, same), how).select(*kept)
 
 
 def ordered(df: DataFrame, *columns) -> DataFrame:
