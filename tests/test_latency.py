@@ -12,6 +12,7 @@ from votestream.operators import (
     latency_points,
     latency_rows,
     latency_summary,
+    quantiles,
     relative_time,
     trim_warmup,
 )
@@ -25,14 +26,13 @@ SECONDS = "run string, time double, latency double"
 MICROS = "run string, time_us bigint, latency_us bigint"
 
 
-@pytest.fixture(params=["broadcast", "salted"])
+@pytest.fixture(params=["small", "large"])
 def join_way(request, monkeypatch):
-    """Both ways of joining the facts of a run onto its rows."""
-    if request.param == "salted":
+    """With the usual size limits, and as if everything were beyond them."""
+    if request.param == "large":
+        limits = (joining.BROADCAST_ROWS, quantiles.SORT_VALUES)
         for function in (joining.attach, exact_quantiles):
-            defaults = tuple(
-                0 if d == joining.BROADCAST_ROWS else d for d in function.__defaults__
-            )
+            defaults = tuple(0 if d in limits else d for d in function.__defaults__)
             monkeypatch.setattr(function, "__defaults__", defaults)
 
 
@@ -86,7 +86,9 @@ def test_summary_of_micros(spark, join_way):
 def test_quantiles_do_not_depend_on_buckets(spark, width):
     runs = logs(2)
     wanted = (0.0, 0.25, 0.5, 0.999, 1.0)
-    for row in exact_quantiles(second_rows(spark, runs), ["run"], "latency", width, wanted).collect():
+    for row in exact_quantiles(
+        second_rows(spark, runs), ["run"], "latency", width, wanted, sort_values=0
+    ).collect():
         assert row.quantiles == list(np.quantile(runs[row.run][1], wanted))
 
 

@@ -28,3 +28,16 @@ def test_same_rows(spark, sf_dir, name):
     answer = QUERIES[name](spark, sf_dir)
     assert sorted(answer.columns) == columns
     assert _rows(answer.columns, answer.collect()) == wanted
+
+
+@pytest.mark.parametrize("sf, flushes, full", [("sf0.001", 626, 93), ("sf0.01", 4269, 2230)])
+def test_known_numbers_of_flushes(spark, sf, flushes, full):
+    partials = QUERIES["partials"](spark, f"/root/testdata/{sf}")
+    assert (partials.count(), partials.where("full").count()) == (flushes, full)
+
+
+def test_entry_and_driver_contract(spark):
+    import __spark_entry__ as driver
+
+    assert driver.entry(spark).count() == 50
+    assert set(driver.oracle_sql()) == set(driver.queries())

@@ -69,7 +69,9 @@ def test_stream_equals_batch(spark, source, tmp_path):
     paths = Paths(tmp_path)
     paths.count(spark, source, rejects=paths.rejects)
     ledger = read_ledger(spark, paths.ledger)
-    assert ledger.select("batch_id").distinct().count() > 1
+    batches = ledger.select("batch_id").distinct().count()
+    assert batches > 1
+    assert len(ledger.inputFiles()) == batches  # one small file each
     assert tuples(read_totals(spark, paths.ledger), *TOTALS) == tuples(
         batch_totals(spark, source), *TOTALS)
     # One latency row per partial count, stamped after its newest vote.
@@ -116,8 +118,8 @@ def test_failed_batch_is_run_again_without_counting_twice(spark, source, tmp_pat
     paths = Paths(tmp_path)
     real, calls = jobs.write_partials, []
 
-    def fails_after_writing(partials, batch_id, path):
-        real(partials, batch_id, path)
+    def fails_after_writing(partials, batch_id, path, files):
+        real(partials, batch_id, path, files)
         calls.append(batch_id)
         if len(calls) == 2:
             raise RuntimeError("lost after the write")

@@ -36,7 +36,7 @@ GROUP = ["stream", "state", "tick"]
 ARRIVAL_ORDER = ["arrival_us", "event_us", "democrat"]
 
 # A cut piece with at most this many votes is sorted in one task.
-SORT_ROWS = 4_000_000
+SORT_ROWS = 2_000_000
 # Event slices are this wide, so that one holds a bounded number of distinct votes.
 EVENT_SLICE_US = 1 << 26
 # Time slices are the square root of the tick, so that a tick has about as many

@@ -107,21 +107,16 @@ def latency_summary(
     """
     shape = _shape(latencies)
     value = F.col(shape.latency)
-    # Added up as decimals, whole microseconds cannot overflow.
-    total = value.cast("decimal(20,0)") if shape.per_second != 1 else value
-    figures = [
-        F.count(value).alias("samples"),
-        shape.seconds(F.sum(total).cast("double") / F.count(value)).alias("avg_latency"),
-        shape.seconds(F.min(value)).alias("min_latency"),
-        shape.seconds(F.max(value)).alias("max_latency"),
-    ]
     if approximate:
         sketched = F.percentile_approx(value, list(map(float, probabilities)), 10_000)
-        summary = latencies.groupBy(*keys).agg(*figures, sketched.alias("quantiles"))
+        figures = _figures(shape, F.lit(1).cast("bigint"))
+        summary = latencies.where(value.isNotNull()).groupBy(*keys).agg(
+            *figures, sketched.alias("quantiles")
+        )
     else:
         width = _BUCKET_US / MICROS * shape.per_second
-        exact = exact_quantiles(latencies, keys, shape.latency, width, probabilities)
-        summary = attach(latencies.groupBy(*keys).agg(*figures), materialise(exact), keys)
+        figures = _figures(shape, F.col("times"))
+        summary = exact_quantiles(latencies, keys, shape.latency, width, probabilities, figures)
     named = [
         shape.seconds(F.col("quantiles")[i].cast("double")).alias(quantile_name(p))
         for i, p in enumerate(probabilities)
@@ -131,6 +126,20 @@ def latency_summary(
     )
 
 
+def _figures(shape: _Shape, times: Column) -> list[Column]:
+    value = F.col(shape.latency)
+    # As decimals, whole microseconds add up exactly and cannot overflow.
+    exact = value.cast("decimal(19,0)") * times.cast("decimal(19,0)")
+    total = F.sum(exact if shape.per_second != 1 else value * times)
+    samples = F.sum(times)
+    return [
+        samples.alias("samples"),
+        shape.seconds(total.cast("double") / samples).alias("avg_latency"),
+        shape.seconds(F.min(value)).alias("min_latency"),
+        shape.seconds(F.max(value)).alias("max_latency"),
+    ]
+
+
 def quantile_name(probability: float) -> str:
     return f"p{probability * 100:g}".replace(".", "_")
 

@@ -1,8 +1,10 @@
 """Exact quantiles of runs of any length.
 
 The built-in exact percentile keeps every distinct value of a group in one task.
-Here the values are counted in buckets first. The counts tell which buckets hold
-the wanted positions, and only those are put in order.
+Here equal values are counted together before anything is put in order. If a key
+still has too many different values to order in one task, they are counted in
+buckets, which tells the few buckets that hold the wanted positions, and only
+those are ordered.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -10,6 +12,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..schema import QUANTILES
 from .joining import BROADCAST_ROWS, attach, materialise
 
+# A key with at most this many different values has them ordered in one task.
+SORT_VALUES = 2_000_000
+
 
 def exact_quantiles(
     rows: DataFrame,
@@ -17,62 +22,100 @@ def exact_quantiles(
     value: str,
     bucket_width: float,
     probabilities=QUANTILES,
+    figures=(),
+    sort_values: int = SORT_VALUES,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Per key, an array ``quantiles`` of linearly interpolated quantiles of ``value``.
 
-    ``bucket_width`` is in the unit of ``value``: a bucket is ordered in one task,
-    so it should span few distinct values, and all buckets of a key are ordered in
-    one task, so there should not be too many.
+    ``bucket_width`` is in the unit of ``value``. All buckets of a key are put in
+    order in one task, and the values of one bucket are, so neither should be
+    unreasonably many.
+
+    ``figures`` are further aggregates to return. They see each different value
+    once, in a row with the number of ``times`` it occurs.
     """
-    counted = (
+    counted = materialise(
         rows.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("times"))
-        .withColumn("bucket", F.floor(F.col(value) / F.lit(float(bucket_width))))
     )
+    most = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("values")).agg(F.max("values"))
+    if (most.first()[0] or 0) <= sort_values:
+        placed = _placed(counted, keys, value, F.lit(0))
+        placed = placed.withColumn("rows", F.sum("times").over(Window.partitionBy(*keys)))
+        return _pick(placed, keys, value, probabilities, figures)
+
+    wanted = _wanted_buckets(counted, keys, value, bucket_width, probabilities)
+    in_bucket = attach(_bucketed(counted, value, bucket_width), materialise(wanted),
+                       [*keys, "bucket"], broadcast_rows)
+    placed = _placed(in_bucket, [*keys, "bucket"], value, F.col("bucket_begins"))
+    picked = _pick(placed, keys, value, probabilities)
+    if not figures:
+        return picked
+    return attach(counted.groupBy(*keys).agg(*figures), materialise(picked), keys, broadcast_rows)
+
+
+def _placed(counted, keys, value, offset):
+    """Adds the position, counted from zero, at which each value first occurs."""
+    before = (
+        Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return counted.withColumn("begins", offset + F.coalesce(F.sum("times").over(before), F.lit(0)))
+
+
+def _position(probability):
+    return F.lit(float(probability)) * (F.col("rows") - 1)
+
+
+def _holds(edge, begins="begins"):
+    return (edge >= F.col(begins)) & (edge < F.col(begins) + F.col("times"))
+
+
+def _bucketed(counted, value, width):
+    return counted.withColumn("bucket", F.floor(F.col(value) / F.lit(float(width))))
+
+
+def _wanted_buckets(counted, keys, value, width, probabilities):
+    """Buckets that hold a wanted position, with the position each begins at."""
     in_key = Window.partitionBy(*keys)
     before = in_key.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    positions = F.transform(
-        F.array(*[F.lit(float(p)) for p in probabilities]), lambda p: p * (F.col("rows") - 1)
-    )
-    edge = lambda edge_of: F.transform("position", lambda p: edge_of(p).cast("bigint"))
-    inside = lambda p: (p >= F.col("begins")) & (p < F.col("begins") + F.col("times"))
-    wanted = (
-        counted.groupBy(*keys, "bucket")
+    holds = F.lit(False)
+    for probability in probabilities:
+        position = _position(probability)
+        for edge in (F.floor(position), F.ceil(position)):
+            holds = holds | _holds(edge, "bucket_begins")
+    return (
+        _bucketed(counted, value, width)
+        .groupBy(*keys, "bucket")
         .agg(F.sum("times").alias("times"))
-        .withColumn("begins", F.coalesce(F.sum("times").over(before), F.lit(0)))
+        .withColumn("bucket_begins", F.coalesce(F.sum("times").over(before), F.lit(0)))
         .withColumn("rows", F.sum("times").over(in_key))
-        .withColumn("position", positions)
-        .withColumn("low", edge(F.floor))
-        .withColumn("high", edge(F.ceil))
-        .where(F.exists("low", inside) | F.exists("high", inside))
-        .drop("times", "rows")
-    )
-    chosen = attach(counted, materialise(wanted), keys + ["bucket"], broadcast_rows)
-    in_bucket = (
-        Window.partitionBy(*keys, "bucket")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .where(holds)
+        .select(*keys, "bucket", "bucket_begins", "rows")
     )
-    begins = F.col("begins") + F.coalesce(F.sum("times").over(in_bucket), F.lit(0))
-    placed = chosen.withColumn("begins", begins)
 
-    def value_at(edges, i):
-        return F.max(F.when(inside(F.col(edges)[i]), F.col(value).cast("double")))
 
-    indexes = range(len(probabilities))
-    ends = placed.groupBy(*keys).agg(
-        F.first("position").alias("position"),
-        F.array(*[value_at("low", i) for i in indexes]).alias("below"),
-        F.array(*[value_at("high", i) for i in indexes]).alias("above"),
-    )
+def _pick(placed, keys, value, probabilities, figures=()):
+    def value_at(edge):
+        return F.max(F.when(_holds(edge), F.col(value).cast("double")))
+
+    ends = []
+    for i, probability in enumerate(probabilities):
+        position = _position(probability)
+        ends.append(value_at(F.floor(position)).alias(f"below_{i}"))
+        ends.append(value_at(F.ceil(position)).alias(f"above_{i}"))
+    picked = placed.groupBy(*keys).agg(F.max("rows").alias("rows"), *ends, *figures)
 
     def between(i):
         # From the nearer end, which is the form that rounds least.
-        part = F.col("position")[i] - F.floor(F.col("position")[i])
-        below, above = F.col("below")[i], F.col("above")[i]
+        position = _position(probabilities[i])
+        part = position - F.floor(position)
+        below, above = F.col(f"below_{i}"), F.col(f"above_{i}")
         step = above - below
         return F.when(part < 0.5, below + step * part).otherwise(above - step * (1.0 - part))
 
-    return ends.select(*keys, F.array(*[between(i) for i in indexes]).alias("quantiles"))
+    quantiles = F.array(*map(between, range(len(probabilities)))).alias("quantiles")
+    dropped = {"rows", *(f"{end}_{i}" for i in range(len(probabilities)) for end in ("below", "above"))}
+    kept = [c for c in picked.columns if c not in dropped]
+    return picked.select(*kept, quantiles)

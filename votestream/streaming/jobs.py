@@ -10,7 +10,7 @@ from ..operators.reporting import map_table, winners
 from ..operators.validity import rejected_votes, valid_votes
 from ..schema import TICK_SECONDS
 from ..sources.states import states_df
-from .ledger import write_latencies, write_partials, write_rejects, write_report
+from .ledger import files_for, write_latencies, write_partials, write_rejects, write_report
 
 # One micro-batch is one tick, whatever the clock says, when votes are cut by count.
 _ONE_TICK_US = 1 << 62
@@ -49,11 +49,11 @@ def start_counting(
     def flush(batch: DataFrame, batch_id: int) -> None:
         counted = _count_tick(valid_votes(batch, states), cap).persist()
         try:
-            counted.count()
+            files = files_for(counted.count())
             # The clock is read after counting, when this next query is planned.
             arrived = counted.withColumn("time_us", F.unix_micros(F.current_timestamp()))
-            write_latencies(latency_rows(arrived), batch_id, latencies)
-            write_partials(counted, batch_id, ledger)
+            write_latencies(latency_rows(arrived), batch_id, latencies, files)
+            write_partials(counted, batch_id, ledger, files)
             if rejects is not None:
                 write_rejects(rejected_votes(batch, states), batch_id, rejects)
         finally:

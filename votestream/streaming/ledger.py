@@ -14,6 +14,7 @@ from ..schema import PARTIAL
 from ..sources.states import states_df
 
 BATCH = "batch_id"
+ROWS_PER_FILE = 1_000_000
 
 _LEDGER = T.StructType(PARTIAL.fields + [T.StructField(BATCH, T.LongType())])
 _LATENCIES = T.StructType([
@@ -25,16 +26,29 @@ _LATENCIES = T.StructType([
 ])
 
 
-def _write_batch(df: DataFrame, batch_id: int, path: str) -> None:
+def files_for(rows: int) -> int:
+    """Files to write so many rows to. Within a micro-batch nothing else merges
+    the small outputs of many shuffle partitions."""
+    return 1 + rows // ROWS_PER_FILE
+
+
+def _write_batch(df: DataFrame, batch_id: int, path: str, files: int | None = None) -> None:
+    if files is not None:
+        df = df.coalesce(files)
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
 
 
-def write_partials(partials: DataFrame, batch_id: int, path: str) -> None:
-    _write_batch(partials.select(*PARTIAL.fieldNames()), batch_id, path)
+def write_partials(
+    partials: DataFrame, batch_id: int, path: str, files: int | None = None
+) -> None:
+    _write_batch(partials.select(*PARTIAL.fieldNames()), batch_id, path, files)
 
 
-def write_latencies(latencies: DataFrame, batch_id: int, path: str) -> None:
-    _write_batch(latencies.select("stream", "state", "time_us", "latency_us"), batch_id, path)
+def write_latencies(
+    latencies: DataFrame, batch_id: int, path: str, files: int | None = None
+) -> None:
+    rows = latencies.select("stream", "state", "time_us", "latency_us")
+    _write_batch(rows, batch_id, path, files)
 
 
 def write_rejects(rejects: DataFrame, batch_id: int, path: str) -> None:
@@ -68,11 +82,12 @@ def roll_up(spark: SparkSession, path: str, target: str) -> None:
 
 # --- reports -----------------------------------------------------------------
 # Only the newest report matters. Two folders take turns, so that the newest
-# complete one stays in place while the next is written.
+# complete one stays in place while the next is written. A report has at most a row
+# per listed state.
 
 
 def write_report(report: DataFrame, batch_id: int, path: str) -> None:
-    stamped = report.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    stamped = report.withColumn(BATCH, F.lit(batch_id).cast("bigint")).coalesce(1)
     stamped.write.mode("overwrite").parquet(f"{path.rstrip('/')}/slot={batch_id % 2}")
 
 
