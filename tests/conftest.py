@@ -13,7 +13,7 @@ TESTDATA = Path("/root/testdata")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores=8)
+    session = local_session(cores=8, partitions=4)
     yield session
     session.stop()
 
