@@ -1,6 +1,6 @@
 """The running jobs: count votes tick by tick, and keep the reports fresh."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.counting import count_votes, national_totals, seed_totals
@@ -16,12 +16,31 @@ from .ledger import files_for, write_latencies, write_partials, write_rejects, w
 _ONE_TICK_US = 1 << 62
 
 
-def _start(writer, checkpoint: str, tick_seconds: int, available_now: bool) -> StreamingQuery:
+# Counts are merged before they are shuffled, so a row per state, or per stream and
+# state, needs few partitions however many votes come in.
+FEW_PARTITIONS = 8
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def _start(
+    writer,
+    spark: SparkSession,
+    checkpoint: str,
+    tick_seconds: int,
+    available_now: bool,
+    partitions: int | None,
+) -> StreamingQuery:
+    """Start a query. It keeps a copy of the settings it is started under."""
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{tick_seconds} seconds")
-    return writer.option("checkpointLocation", checkpoint).start()
+    usual = spark.conf.get(_PARTITIONS)
+    spark.conf.set(_PARTITIONS, usual if partitions is None else partitions)
+    try:
+        return writer.option("checkpointLocation", checkpoint).start()
+    finally:
+        spark.conf.set(_PARTITIONS, usual)
 
 
 def start_counting(
@@ -59,7 +78,14 @@ def start_counting(
         finally:
             counted.unpersist()
 
-    return _start(votes.writeStream.foreachBatch(flush), checkpoint, tick_seconds, available_now)
+    return _start(
+        votes.writeStream.foreachBatch(flush),
+        votes.sparkSession,
+        checkpoint,
+        tick_seconds,
+        available_now,
+        partitions=FEW_PARTITIONS if cap is None else None,
+    )
 
 
 def _count_tick(votes: DataFrame, cap: int | None) -> DataFrame:
@@ -95,4 +121,6 @@ def start_reporting(
 
     running = count_votes(valid_votes(votes, states), ["state"])
     writer = running.writeStream.outputMode("complete").foreachBatch(refresh)
-    return _start(writer, checkpoint, tick_seconds, available_now)
+    return _start(
+        writer, votes.sparkSession, checkpoint, tick_seconds, available_now, FEW_PARTITIONS
+    )
