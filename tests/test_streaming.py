@@ -13,7 +13,7 @@ from votestream.operators import (
     winners,
 )
 from votestream.schema import STATES
-from votestream.sources import read_vote_stream, read_votes, states_df, write_votes
+from votestream.sources import merge_streams, read_vote_stream, read_votes, states_df, write_votes
 from votestream.streaming import (
     jobs,
     read_latency_log,
@@ -176,6 +176,20 @@ def test_reports_follow_the_stream(spark, source, tmp_path):
         "state", "winner", "Rvotes", "Dvotes", "colour"]
 
 
+def test_inputs_merge_into_one_count(spark, tmp_path):
+    folders = [str(tmp_path / name) for name in ("first", "second")]
+    for stream, folder in enumerate(folders):
+        write_votes(cast(spark, 120, seed=stream, stream=stream), folder)
+    paths = Paths(tmp_path)
+    merged = merge_streams(read_vote_stream(spark, folder) for folder in folders)
+    query = start_counting(
+        merged, paths.ledger, paths.latencies, paths.checkpoint, available_now=True)
+    assert query.awaitTermination(120)
+    assert tuples(read_totals(spark, paths.ledger), *TOTALS) == tuples(
+        batch_totals(spark, folders), *TOTALS)
+    assert {r.stream for r in read_ledger(spark, paths.ledger).collect()} == {0, 1}
+
+
 def test_ticks_by_the_clock(spark, source, tmp_path):
     paths = Paths(tmp_path)
     query = start_counting(

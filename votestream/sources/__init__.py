@@ -3,11 +3,19 @@
 from .latencies import export_latencies, read_latencies
 from .states import read_states, states_df
 from .tables import repeated_votes_view, votes_view
-from .votes import encode_votes, parse_votes, read_vote_stream, read_votes, write_votes
+from .votes import (
+    encode_votes,
+    merge_streams,
+    parse_votes,
+    read_vote_stream,
+    read_votes,
+    write_votes,
+)
 
 __all__ = [
     "encode_votes",
     "export_latencies",
+    "merge_streams",
     "parse_votes",
     "read_latencies",
     "read_states",

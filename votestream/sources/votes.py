@@ -1,5 +1,8 @@
 """Votes as JSON lines, in batch and as a stream."""
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import micros_of_seconds, seconds_of_micros, stream_of
@@ -76,6 +79,11 @@ def read_vote_stream(
     return parse_votes(reader.load(path), strict)
 
 
+def merge_streams(streams: Iterable[DataFrame]) -> DataFrame:
+    """Votes of several inputs as one, where a path glob cannot name them all."""
+    return reduce(DataFrame.unionByName, streams)
+
+
 def write_votes(votes: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """Votes as JSON line files of at most ``rows_per_file`` rows."""
     writer = encode_votes(votes).write.mode("overwrite")
