@@ -17,6 +17,10 @@ def _rows(columns, rows):
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, sf_dir, name):
     with duckdb.connect() as db:
@@ -24,9 +28,9 @@ def test_same_rows(spark, sf_dir, name):
             db.sql(f"create view {table.stem} as select * from '{table}'")
         expected = db.sql(ORACLE_SQL[name])
         wanted = _rows(expected.columns, expected.fetchall())
-        columns = sorted(expected.columns)
+        types = dict(zip(expected.columns, map(str, expected.types)))
     answer = QUERIES[name](spark, sf_dir)
-    assert sorted(answer.columns) == columns
+    assert {column: TYPES[kind] for column, kind in answer.dtypes} == types
     assert _rows(answer.columns, answer.collect()) == wanted
 
 
