@@ -19,7 +19,7 @@ def micros_of_seconds(seconds) -> Column:
     """Epoch seconds (double) as bigint microseconds; NULL when not finite."""
     seconds = _col(seconds)
     usable = ~F.isnan(seconds) & (F.abs(seconds) <= F.lit(_MAX_SECONDS))
-    return F.when(usable, F.round(seconds * F.lit(float(MICROS))).cast("bigint"))
+    return F.when(usable, F.rint(seconds * F.lit(float(MICROS))).cast("bigint"))
 
 
 def seconds_of_micros(micros) -> Column:
@@ -53,7 +53,7 @@ def vote_id(stream, sequence) -> Column:
 
 def stream_of(id_column) -> Column:
     """Stream number in front of the dash; NULL if it is not a number."""
-    return F.split_part(_col(id_column), F.lit("-"), F.lit(1)).try_cast("bigint")
+    return F.substring_index(_col(id_column), "-", 1).try_cast("bigint")
 
 
 def sequence_of(id_column) -> Column:

@@ -37,7 +37,7 @@ def votes_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind.isin("click", "purchase"), "D").when(kind == "error", "I").otherwise("R")
         .alias("party"),
         event_us.alias("event_us"),
-        (event_us + F.round(F.col("value") * 1000).cast("bigint")).alias("arrival_us"),
+        (event_us + F.rint(F.col("value") * 1000).cast("bigint")).alias("arrival_us"),
     )
 
 

@@ -9,7 +9,6 @@ from ..functions import micros_of_seconds, seconds_of_micros, stream_of
 from ..schema import VOTE_JSON
 
 _CORRUPT = "_corrupt"
-_BLANKS = " \t\r\n\f"
 _LENIENT = T.StructType(VOTE_JSON.fields + [T.StructField(_CORRUPT, T.StringType())])
 
 
@@ -21,18 +20,20 @@ def parse_votes(lines: DataFrame, strict: bool = False) -> DataFrame:
     Both leave missing fields as NULL and blank lines ``malformed``, to be told
     apart by ``split_valid``.
     """
-    text = F.trim("value", F.lit(_BLANKS))
     if strict:
-        vote = F.from_json(text, VOTE_JSON, {"mode": "FAILFAST"})
+        vote = F.from_json("value", VOTE_JSON, {"mode": "FAILFAST"})
+        unreadable = F.lit(False)
     else:
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-        vote = F.from_json(text, _LENIENT, options)
+        vote = F.from_json("value", _LENIENT, options)
+        unreadable = F.col(_CORRUPT).isNotNull()
     # Taken apart by inline, a line is parsed once. As a plain projection it would
     # be parsed again by every filter that is pushed below it.
     fields = lines.select(F.col("value").alias("line"), F.inline(F.array(vote)))
-    readable = F.trim("line", F.lit(_BLANKS)) != ""
-    if not strict:
-        readable = readable & F.col(_CORRUPT).isNull()
+    # A blank line parses to nothing without being reported. Only lines that gave
+    # nothing are looked at again.
+    nothing = F.coalesce("id", "state", "party", F.col("event_time").cast("string")).isNull()
+    blank = nothing & F.coalesce(F.col("line").rlike(r"^\s*$"), F.lit(True))
     return fields.select(
         "id",
         "state",
@@ -40,7 +41,7 @@ def parse_votes(lines: DataFrame, strict: bool = False) -> DataFrame:
         "event_time",
         stream_of("id").alias("stream"),
         micros_of_seconds("event_time").alias("event_us"),
-        (~F.coalesce(readable, F.lit(False))).alias("malformed"),
+        (unreadable | blank).alias("malformed"),
         "line",
     )
 
