@@ -55,8 +55,8 @@ def flush_partials(
 ) -> DataFrame:
     """Partial counts of each flush, one row per (stream, state, tick, batch).
 
-    ``votes`` need ``stream``, ``state``, ``party``, ``event_us`` and
-    ``arrival_us``. Without a ``cap`` only ticks flush. ``time_us`` is when the
+    ``votes`` must be valid, and need ``stream``, ``state``, ``party``, ``event_us``
+    and ``arrival_us``. Without a ``cap`` only ticks flush. ``time_us`` is when the
     flush happens: at its last vote if that filled it, else at the end of the tick.
     """
     arrived = votes.select(

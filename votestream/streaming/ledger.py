@@ -92,7 +92,7 @@ def write_report(report: DataFrame, batch_id: int, path: str) -> None:
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """The newest report."""
-    reports = spark.read.parquet(path)
+    """The newest report, also while the one before it is being replaced."""
+    reports = spark.read.option("ignoreMissingFiles", True).parquet(path)
     newest = reports.agg(F.max(BATCH).alias("newest")).first()["newest"]
     return reports.where(F.col(BATCH) == newest).drop(BATCH, "slot")
