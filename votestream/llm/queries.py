@@ -1,14 +1,28 @@
 """The queries of this subpackage, and SQL for those that SQL can express."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import scratch_path
+from .bpe import decode_ids, encode_texts
 from .decontamination import contamination
+from .near_dedup import near_duplicates
+from .token_files import token_index, write_token_ids
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_token_files(spark, sf_dir):
+    """Per document, from ORC files of its token ids: where they start, how many, their crc."""
+    path = scratch_path(spark, "token-ids")
+    write_token_ids(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path
+    )
+    return token_index(spark, path)
+
+
 def op5_decontamination(spark, sf_dir):
     """Per document: words, words in benchmark windows, and the items found."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,8 +41,32 @@ def op5_decontamination(spark, sf_dir):
     )
 
 
+def op7_byte_bpe(spark, sf_dir):
+    """Per document: its token ids and what they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode_texts(documents, path, public_tokenizers.PATTERN).drop("text")
+    decoded = decode_ids(encoded, path, public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id",
+        F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op10_near_dedup(spark, sf_dir):
+    """Per document: the component of near-duplicates it is in, and whether it is kept."""
+    documents = table(spark, sf_dir, "documents")
+    found = near_duplicates(documents, size=3, threshold=0.85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
+    "op3_token_files": op3_token_files,
     "op5_decontamination": op5_decontamination,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE_SQL = {}
