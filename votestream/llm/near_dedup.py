@@ -11,9 +11,9 @@ sets overlap.
    smallest one only. Pairs whose sizes or registers rule out a link are dropped; the
    registers' estimate is corrected for chance collisions and has a margin of
    ``MARGIN`` standard errors. The others are verified on their full sets.
-3. Links join classes into components. A bucket whose classes are in one component by
-   now is done. In the others the next class takes the lead, and so on. As soon as all
-   pairs still to compare are few for the number of classes, they are compared at once.
+3. Links join classes into components. A bucket whose classes are in one component by now
+   is done. The classes of all others are compared once more, by an exact prefix filter over
+   their rarest shingles, and only with classes of other components.
 
 So no pair of a bucket is left out unless its two classes are known to be connected.
 """
@@ -38,8 +38,6 @@ MANTISSA_BITS = 10
 MISS = 1e-6
 #: Standard errors by which an estimate must miss the threshold before a pair is dropped.
 MARGIN = 5.0
-#: Pairs for each class that may be compared at once after the rounds of leaders.
-PAIRS_PER_CLASS = 4
 
 _U = np.uint64
 _BORROWS = 64
@@ -173,7 +171,7 @@ def near_duplicates(
     classes = spark.read.schema(classes.schema).parquet(f"{path}/classes")
     reps = classes.where("rep is not null")
 
-    links = _links(reps, documents, size, threshold)
+    links = _links(reps, documents, size, threshold, path)
     known = full.join(classes.select(*DIGEST, "rep"), DIGEST).where("doc_id <> rep")
     # Rows that share a doc_id hold their classes together.
     links = links.unionByName(known.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
@@ -188,49 +186,86 @@ def near_duplicates(
     return placed.unionByName(empty).withColumn("kept", kept)
 
 
-def _links(reps: DataFrame, documents: DataFrame, size: int, threshold: float) -> DataFrame:
+def _links(reps: DataFrame, documents: DataFrame, size: int, threshold: float, path: str) -> DataFrame:
     """Links (a, b) that connect all classes which any links would connect."""
+    spark = documents.sparkSession
     rows = band_rows(threshold)
     bands = F.array(*[
         F.xxhash64(F.lit(i), F.expr(f"substring(registers, {2 * rows * i + 1}, {2 * rows})"))
         for i in range(REGISTERS // rows)
     ])
     members = reps.select("rep", F.explode(bands).alias("band"))
-    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = materialise(members.join(shared.select("band"), "band"))
-    total, classes = None, None
-    links, open_ = None, buckets
-    while True:
-        leaders = open_.groupBy("band").agg(F.min("rep").alias("lead"))
-        led = open_.join(leaders, "band").where("rep <> lead")
-        pairs = led.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-        new = _verified(pairs, reps, documents, size, threshold)
-        links = new if links is None else materialise(links.unionByName(new))
-        labels = materialise(components(links))
-        # What is left without the leaders, where a bucket still has several components.
-        followers = open_.join(leaders.withColumnRenamed("lead", "rep"), ["band", "rep"], "left_anti")
-        labelled = followers.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "band", "rep", F.coalesce("component", "rep").alias("component")
-        )
-        mixed_ = labelled.groupBy("band").agg(
-            F.count(F.lit(1)).alias("n"), F.min("component").alias("least"),
-            F.max("component").alias("most"),
-        ).where("least < most")
-        open_ = materialise(labelled.join(mixed_.select("band", "n"), "band"))
-        if classes is None:
-            classes = reps.count()
-        total = open_.agg(F.sum(F.col("n") - 1).alias("pairs")).first().pairs or 0
-        if total == 0:
-            return links
-        if total <= 2 * PAIRS_PER_CLASS * classes:
-            other = open_.select("band", F.col("rep").alias("b"), F.col("component").alias("of_b"))
-            pairs = open_.join(other, "band").where("rep < b and component <> of_b")
-            pairs = pairs.select(F.col("rep").alias("a"), "b").distinct()
-            return links.unionByName(_verified(pairs, reps, documents, size, threshold))
-        open_ = open_.select("band", "rep")
-
-
-def _verified(pairs, reps, documents, size, threshold) -> DataFrame:
+    led = members.groupBy("band").agg(F.min("rep").alias("lead"), F.max("rep").alias("most"))
+    led = led.where("lead < most").select("band", "lead")
+    members.join(led, "band").write.parquet(f"{path}/buckets")
+    buckets = spark.read.schema("band bigint, rep bigint, lead bigint").parquet(f"{path}/buckets")
+    # From here on only the texts of classes that share a bucket are of interest.
+    wanted = buckets.select(F.col("rep").alias("id")).distinct()
+    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    documents.select(F.col("doc_id").cast("bigint").alias("id"), text).join(
+        wanted, "id", "left_semi"
+    ).write.parquet(f"{path}/texts")
+    texts = spark.read.schema("id bigint, text string").parquet(f"{path}/texts")
+
+    pairs = buckets.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
+    links = _verified(pairs.distinct(), reps, texts, size, threshold)
+    labels = components(links).withColumnRenamed("node", "rep")
+    labelled = buckets.where("rep <> lead").join(labels, "rep", "left").select(
+        "band", "rep", F.coalesce("component", "rep").alias("component")
+    )
+    several = labelled.groupBy("band").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")
+    ).where("least < most").select("band")
+    apart = materialise(labelled.join(several, "band").select("rep", "component").distinct())
+    more = _prefix_pairs(apart, texts, size, threshold)
+    return links.unionByName(_verified(more, reps, texts, size, threshold))
+
+
+def _prefix_pairs(apart: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """Pairs of classes of different components that may be links, among those in ``apart``.
+
+    Exact: two sets of ``n`` shingles or more with this similarity share one of the rarest
+    ``n - ceil(threshold * n) + 1`` of either, if both are put in the same order. Rare
+    is what few of these classes have, so what only one has ends no pair. That leaves few
+    pairs even of a large group of texts that are all a bit too unlike each other.
+    """
+    cent = round(threshold * 100)
+
+    def spell(batches):
+        for batch in batches:
+            for first, last, data, offsets in blocks(*utf8(batch.column(2))):
+                sets = shingle_sets(data, offsets, size)
+                counts = [len(s) for s in sets]
+                at = pa.array(np.repeat(np.arange(first, last), counts))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at),
+                     pa.array(np.repeat(np.array(counts, np.int64), counts)),
+                     pa.array(np.concatenate(sets).view(np.int64))],
+                    names=["rep", "component", "n", "shingle"],
+                )
+
+    own = apart.join(texts.withColumnRenamed("id", "rep"), "rep").select("rep", "component", "text")
+    spelt = in_arrow(own, spell, "rep bigint, component bigint, n bigint, shingle bigint")
+    spelt = materialise(spelt)
+    common = spelt.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # Shingles of one class only come first; how many they are follows from the others.
+    known = spelt.join(common, "shingle").groupBy("rep", "component", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared")
+    )
+    prefix = F.col("n") - F.ceil(F.lit(cent) * F.col("n") / 100) + 1
+    left = (prefix - (F.col("n") - F.size("shared"))).cast("int")
+    rare = materialise(
+        known.where(left > 0)
+        .select("rep", "component", "n", F.explode(F.slice("shared", F.lit(1), left)).alias("s"))
+        .select("rep", "component", "n", F.col("s.shingle").alias("shingle"))
+    )
+    other = rare.toDF("b", "of_b", "n_b", "shingle")
+    fits = 100 * F.least("n", "n_b") >= cent * F.greatest("n", "n_b")
+    met = rare.join(other, "shingle").where((F.col("rep") < F.col("b")) & fits)
+    return met.where("component <> of_b").select(F.col("rep").alias("a"), "b").distinct()
+
+
+def _verified(pairs, reps, texts, size, threshold) -> DataFrame:
     """The pairs (a, b) that are links: first by size and registers, then by their sets."""
     cent = round(threshold * 100)
     sides = reps.select("rep", "n_shingles", "registers")
@@ -264,8 +299,7 @@ def _verified(pairs, reps, documents, size, threshold) -> DataFrame:
 
     columns = ["a", "b", "n_a", "n_b", "registers_a", "registers_b"]
     candidates = materialise(in_arrow(both.select(*columns), likely, "a bigint, b bigint"))
-    text = documents.select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = candidates.join(text.toDF("b", "text_b"), "b").join(text.toDF("a", "text_a"), "a")
+    both = candidates.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
 
     def alike(batches):
         for batch in batches:
@@ -284,4 +318,4 @@ def _verified(pairs, reps, documents, size, threshold) -> DataFrame:
                 [batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"]
             )
 
-    return materialise(in_arrow(texts.select("a", "b", "text_a", "text_b"), alike, "a bigint, b bigint"))
+    return materialise(in_arrow(both.select("a", "b", "text_a", "text_b"), alike, "a bigint, b bigint"))
