@@ -5,8 +5,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 from .bpe import decode_ids, encode_texts
+from .chat import format_chats, read_turns
 from .decontamination import contamination
+from .line_dedup import MIN_CHARS, MIN_SITES, without_boilerplate
 from .near_dedup import near_duplicates
+from .quality import quality
 from .token_files import token_index, write_token_ids
 
 
@@ -14,6 +17,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CONFLICT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op2_chat_format(spark, sf_dir):
+    """Per conversation, read back from its formatted text: turns, loss mask and length."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conflict = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONFLICT).alias("text"),
+    )
+    path = scratch_path(spark, "chats")
+    format_chats(rows.unionByName(conflict)).write.parquet(path)
+    back = read_turns(spark.read.parquet(path))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"),
+        F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
 def op3_token_files(spark, sf_dir):
     """Per document, from ORC files of its token ids: where they start, how many, their crc."""
     path = scratch_path(spark, "token-ids")
@@ -55,6 +83,21 @@ def op7_byte_bpe(spark, sf_dir):
     )
 
 
+def op8_line_dedup(spark, sf_dir):
+    """Per document: its text without repeated cross-site boilerplate lines."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return without_boilerplate(documents).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op9_quality(spark, sf_dir):
+    """Per document: statistics, the base rules, and the verdict on its vector."""
+    found = quality(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "distance",
+    )
+
+
 def op10_near_dedup(spark, sf_dir):
     """Per document: the component of near-duplicates it is in, and whether it is kept."""
     documents = table(spark, sf_dir, "documents")
@@ -63,10 +106,54 @@ def op10_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_chat_format": op2_chat_format,
     "op3_token_files": op3_token_files,
     "op5_decontamination": op5_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_quality": op9_quality,
     "op10_near_dedup": op10_near_dedup,
 }
 
-ORACLE_SQL = {}
+ORACLE_SQL = {
+    "op2_chat_format": r"""
+with rows as (
+  select conv_id, turn, role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+written as (
+  select *, case when contains(text, '<|im_start|>') or contains(text, '<|im_end|>')
+                   or regexp_matches(text, '<\\+\|')
+                 then regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') else text end as own
+  from rows)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(case when role = 'assistant' then text end, ''
+                                  order by turn, role, text), '')) as loss_sha256,
+       cast(sum(12 + length(role) + 1 + length(own) + 11) as bigint) as formatted_chars
+from written group by conv_id""".replace("\\", chr(92)),
+    "op8_line_dedup": f"""
+with owned as (
+  select doc_id, source, text, unnest(range(len(string_split(text, chr(10))))) as place,
+         unnest(string_split(text, chr(10))) as line
+  from documents where text <> ''),
+long as (
+  select doc_id, source, place, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) as own
+  from owned where length(trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12))) >= {MIN_CHARS}),
+common as (
+  select own, min({{'doc_id': doc_id, 'place': place}}) as first
+  from long group by own having count(distinct source) >= {MIN_SITES}),
+dropped as (
+  select l.doc_id, l.place from long l join common c on l.own = c.own
+  where {{'doc_id': l.doc_id, 'place': l.place}} <> c.first),
+rest as (
+  select o.doc_id, count(*) as n_lines, count(d.place) as n_removed,
+         coalesce(string_agg(case when d.place is null then line end, chr(10) order by o.place), '')
+           as text
+  from owned o left join dropped d on o.doc_id = d.doc_id and o.place = d.place
+  group by o.doc_id)
+select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed,
+       coalesce(r.text, d.text) as text
+from documents d left join rest r using (doc_id)""",
+}
