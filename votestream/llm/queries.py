@@ -10,6 +10,7 @@ from .decontamination import contamination
 from .line_dedup import MIN_CHARS, MIN_SITES, without_boilerplate
 from .near_dedup import near_duplicates
 from .quality import quality
+from .suffix_dedup import without_repeats
 from .token_files import token_index, write_token_ids
 
 
@@ -51,6 +52,19 @@ def op3_token_files(spark, sf_dir):
     return token_index(spark, path)
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    """Per document: bytes removed because a string of 200 that covers them occurs elsewhere."""
+    cut = without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["first"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_decontamination(spark, sf_dir):
     """Per document: words, words in benchmark windows, and the items found."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,6 +122,7 @@ def op10_near_dedup(spark, sf_dir):
 QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op3_token_files": op3_token_files,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontamination": op5_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_line_dedup": op8_line_dedup,
