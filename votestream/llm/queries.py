@@ -9,8 +9,10 @@ from .chat import format_chats, read_turns
 from .decontamination import contamination
 from .line_dedup import MIN_CHARS, MIN_SITES, without_boilerplate
 from .near_dedup import near_duplicates
+from .passages import near_duplicate_passages
 from .quality import quality
 from .suffix_dedup import without_repeats
+from .toxicity import THRESHOLD, held_out, learn, with_scores
 from .token_files import token_index, write_token_ids
 
 
@@ -18,6 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_passages(spark, sf_dir):
+    """Pairs of documents where one nearly repeats passages of 50 words of the other."""
+    pairs = near_duplicate_passages(table(spark, sf_dir, "documents"))
+    n = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["first"])
+    return pairs.select(
+        "doc_id", "other_id", n.alias("n_words"), F.size("spans").cast("bigint").alias("n_spans"),
+        "similarity",
+    )
+
+
 CONFLICT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -83,6 +95,18 @@ def op5_decontamination(spark, sf_dir):
     )
 
 
+def op6_toxicity(spark, sf_dir):
+    """Per document: a toxicity score learned from the labels that are not held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = learn(documents, table(spark, sf_dir, "labels"))
+    return with_scores(documents, lexicon).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_byte_bpe(spark, sf_dir):
     """Per document: its token ids and what they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -120,10 +144,12 @@ def op10_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_passages": op1_passages,
     "op2_chat_format": op2_chat_format,
     "op3_token_files": op3_token_files,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontamination": op5_decontamination,
+    "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
