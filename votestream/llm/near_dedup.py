@@ -253,14 +253,19 @@ def _prefix_pairs(apart: DataFrame, texts: DataFrame, size: int, threshold: floa
         F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared")
     )
     prefix = F.col("n") - F.ceil(F.lit(cent) * F.col("n") / 100) + 1
-    left = (prefix - (F.col("n") - F.size("shared"))).cast("int")
+    alone = F.col("n") - F.size("shared")
+    left = (prefix - alone).cast("int")
+    listed = F.posexplode(F.slice("shared", F.lit(1), left)).alias("i", "s")
     rare = materialise(
         known.where(left > 0)
-        .select("rep", "component", "n", F.explode(F.slice("shared", F.lit(1), left)).alias("s"))
-        .select("rep", "component", "n", F.col("s.shingle").alias("shingle"))
+        .select("rep", "component", "n", alone.alias("alone"), listed)
+        .select("rep", "component", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest"),
+                F.col("s.shingle").alias("shingle"))
     )
-    other = rare.toDF("b", "of_b", "n_b", "shingle")
+    other = rare.toDF("b", "of_b", "n_b", "rest_b", "shingle")
     fits = 100 * F.least("n", "n_b") >= cent * F.greatest("n", "n_b")
+    # From the first shingle they share on, enough must be left of both.
+    fits &= (100 + cent) * F.least("rest", "rest_b") >= cent * (F.col("n") + F.col("n_b"))
     met = rare.join(other, "shingle").where((F.col("rep") < F.col("b")) & fits)
     return met.where("component <> of_b").select(F.col("rep").alias("a"), "b").distinct()
 
