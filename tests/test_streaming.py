@@ -94,7 +94,7 @@ def test_stream_with_a_cap(spark, source, tmp_path):
         batch_totals(spark, source), *TOTALS)
     # The same cuts as a replay of the same votes within one tick.
     replayed = flush_partials(
-        valid_votes(read_votes(spark, source)).selectExpr("*", "event_us as arrival_us"), 1 << 62, 2)
+        valid_votes(read_votes(spark, source)), 1 << 62, 2)
     columns = ("stream", "state", "Dvotes", "Rvotes", "event_us")
     assert tuples(partials, *columns) == tuples(replayed, *columns)
 
@@ -148,7 +148,11 @@ def test_rolled_up_ledger_goes_on(spark, source, tmp_path):
     paths = Paths(tmp_path)
     paths.count(spark, source)
     rolled = str(tmp_path / "rolled")
-    roll_up(spark, paths.ledger, rolled)
+    log = str(tmp_path / "rolled-log")
+    roll_up(spark, paths.ledger, rolled, paths.checkpoint, paths.latencies, log)
+    assert read_latency_log(spark, log).count() == read_latency_log(spark, paths.latencies).count()
+    with pytest.raises(ValueError):
+        roll_up(spark, paths.ledger, paths.ledger, paths.checkpoint)
     assert read_ledger(spark, rolled).select("batch_id").distinct().collect() == [(-1,)]
     assert tuples(read_totals(spark, rolled), *TOTALS) == tuples(
         read_totals(spark, paths.ledger), *TOTALS)
@@ -160,6 +164,39 @@ def test_rolled_up_ledger_goes_on(spark, source, tmp_path):
         batch_totals(spark, source), *TOTALS)
 
 
+def test_roll_up_leaves_out_what_will_be_run_again(spark, source, tmp_path, monkeypatch):
+    paths = Paths(tmp_path)
+    real, calls = jobs.write_partials, []
+
+    def fails_after_writing(partials, batch_id, path, files):
+        real(partials, batch_id, path, files)
+        calls.append(batch_id)
+        if len(calls) == 2:
+            raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(jobs, "write_partials", fails_after_writing)
+    with pytest.raises(Exception, match="lost after the write"):
+        paths.count(spark, source)
+    rolled = str(tmp_path / "rolled")
+    roll_up(spark, paths.ledger, rolled, paths.checkpoint)
+    paths.ledger = rolled
+    paths.count(spark, source)
+    assert tuples(read_totals(spark, rolled), *TOTALS) == tuples(
+        batch_totals(spark, source), *TOTALS)
+
+
+@pytest.mark.parametrize("cap", [None, 2])
+def test_times_out_of_range_are_rejected(spark, tmp_path, cap):
+    folder = str(tmp_path / "votes")
+    line = '{"id":"1-%d","state":"CA","party":"D","event_time":%s}'
+    texts = [line % (i, t) for i, t in enumerate(("-9.2233e12", "5e12", "1e9", "1e9"))]
+    spark.createDataFrame([(t,) for t in texts], "value string").write.text(folder)
+    paths = Paths(tmp_path)
+    paths.count(spark, folder, rejects=paths.rejects, cap=cap)
+    assert [r.reason for r in spark.read.parquet(paths.rejects).collect()] == ["bad_time"] * 2
+    assert sum(r.Dvotes for r in read_ledger(spark, paths.ledger).collect()) == 2
+
+
 def test_reports_follow_the_stream(spark, source, tmp_path):
     reports = str(tmp_path / "reports")
     query = start_reporting(
@@ -219,3 +256,21 @@ def test_repeated_votes_of_a_stream_are_dropped_on_request(spark, tmp_path):
         .trigger(availableNow=True).start())
     assert query.awaitTermination(120)
     assert tuples(spark.table("once"), "id") == tuples(valid_votes(once), "id")
+
+
+def test_late_votes_and_votes_without_an_id_are_kept(spark, tmp_path):
+    folder = str(tmp_path / "votes")
+    line = '{"id":%s,"state":"CA","party":"D","event_time":%d}'
+    for rows in ([('"1-1"', 10**9), ("null", 5)], [('"1-2"', 5), ('"1-1"', 7), ("null", 5), ("null", 5)]):
+        texts = [(line % row,) for row in rows]
+        spark.createDataFrame(texts, "value string").coalesce(1).write.mode("append").text(folder)
+    query = (
+        dedup_stream(valid_votes(read_vote_stream(spark, folder, max_files=1)))
+        .writeStream.format("memory").queryName("late")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True).start())
+    assert query.awaitTermination(120)
+    ids = [r.id for r in spark.table("late").collect()]
+    assert sorted(map(str, ids)) == ["1-1", "1-2", "None", "None", "None"]
+    with pytest.raises(ValueError):
+        dedup_stream(read_vote_stream(spark, folder))

@@ -180,3 +180,9 @@ def test_settings():
     assert flush_cap(22_000, 1) == 132_000
     assert backlog_rows(22_000, 1) == 880_000
     assert row_budget(22_000, 1) == 6_600_000
+
+
+def test_dedup_keeps_every_vote_without_an_id(spark):
+    rows = [(None, 1, "CA", "D", 5, 5)] * 3 + [("1-1", 1, "CA", "D", 5, 5)] * 2
+    once = dedup_votes(spark.createDataFrame(rows, VOTE))
+    assert sorted(str(r.id) for r in once.collect()) == ["1-1", "None", "None", "None"]

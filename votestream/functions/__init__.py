@@ -4,6 +4,7 @@ from .votes import (
     colour_of,
     encode_party,
     floor_div,
+    in_time,
     is_democrat,
     micros_of_seconds,
     micros_of_timestamp,
@@ -19,6 +20,7 @@ __all__ = [
     "colour_of",
     "encode_party",
     "floor_div",
+    "in_time",
     "is_democrat",
     "micros_of_seconds",
     "micros_of_timestamp",

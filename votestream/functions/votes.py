@@ -11,14 +11,21 @@ def _col(column) -> Column:
 
 # --- time ---------------------------------------------------------------
 
-# Largest whole second whose microseconds a bigint can hold.
-_MAX_SECONDS = float(2**63 // MICROS - 1)
+# Times reach to the end of the year 9999, and as far into the past. Sums and differences of a
+# few of them fit a bigint, so no later step can overflow.
+MAX_SECONDS = 253_402_300_800
+MAX_US = MAX_SECONDS * MICROS
+
+
+def in_time(micros) -> Column:
+    """Whether microseconds are within the times a vote may have; NULL for NULL."""
+    return _col(micros).between(-MAX_US, MAX_US)
 
 
 def micros_of_seconds(seconds) -> Column:
-    """Epoch seconds (double) as bigint microseconds; NULL when not finite."""
+    """Epoch seconds (double) as bigint microseconds; NULL when not a time a vote may have."""
     seconds = _col(seconds)
-    usable = ~F.isnan(seconds) & (F.abs(seconds) <= F.lit(_MAX_SECONDS))
+    usable = ~F.isnan(seconds) & (F.abs(seconds) <= F.lit(float(MAX_SECONDS)))
     return F.when(usable, F.rint(seconds * F.lit(float(MICROS))).cast("bigint"))
 
 
@@ -97,11 +104,15 @@ def reject_reason(columns, known_state) -> Column:
     only exist where votes came in as text.
     """
     reason = F.when(~F.coalesce(_col(known_state), F.lit(False)), F.lit("unknown_state"))
+    bad_time = ~in_time("event_us")
+    if "arrival_us" in columns:
+        bad_time = bad_time | ~in_time("arrival_us")
     if "event_time" in columns:
-        missing_time, bad_time = F.col("event_time").isNull(), F.col("event_us").isNull()
-        reason = F.when(bad_time, F.lit("bad_time")).otherwise(reason)
+        missing_time = F.col("event_time").isNull()
+        bad_time = bad_time | F.col("event_us").isNull()
     else:
         missing_time = F.col("event_us").isNull()
+    reason = F.when(F.coalesce(bad_time, F.lit(False)), F.lit("bad_time")).otherwise(reason)
     missing = F.col("state").isNull() | F.col("party").isNull() | missing_time
     reason = F.when(missing, F.lit("missing_field")).otherwise(reason)
     if "malformed" in columns:

@@ -7,6 +7,7 @@ from .flushing import flush_partials
 from .joining import attach, materialise, ordered
 from .latency import (
     by_run,
+    in_micros,
     in_seconds,
     latency_histogram,
     latency_points,
@@ -17,16 +18,18 @@ from .latency import (
 )
 from .quantiles import exact_quantiles
 from .reporting import map_table, winners
-from .validity import rejected_votes, split_valid, valid_votes
+from .validity import classified_votes, rejected_votes, split_valid, valid_votes
 
 __all__ = [
     "attach",
     "by_run",
+    "classified_votes",
     "count_votes",
     "dedup_stream",
     "dedup_votes",
     "exact_quantiles",
     "flush_partials",
+    "in_micros",
     "in_seconds",
     "ingest_audit",
     "latency_histogram",

@@ -1,8 +1,9 @@
 """Each query as SQL over the same tables, for an engine to check it against."""
 
-from ..schema import HISTOGRAM_BINS, PARTY_COLOURS, QUANTILES, STATES, WARMUP_FRACTION
+from ..schema import (HISTOGRAM_BINS, MICROS, PARTY_COLOURS, QUANTILES, STATES, TICK_SECONDS,
+                      WARMUP_FRACTION, flush_cap)
 from ..sources.tables import CODES, FIRST_STREAM
-from .queries import CAP, DAY_US, NODES, RATE
+from .queries import CAP, DAY_US, NO_ID, NODES, RATE, RUNS
 
 
 def _list(codes) -> str:
@@ -38,25 +39,26 @@ won as (
          case when Rvotes > Dvotes then 'Republican' else 'Democrat' end as winner
   from totals)"""
 
-FLUSHES = f"""{VOTES},
+def _flushes(tick: int, cap: int) -> str:
+    return f"""{VOTES},
 numbered as (
-  select stream, state, arrival_us // {DAY_US} as tick, party, event_us, arrival_us,
-         (row_number() over (partition by stream, state, arrival_us // {DAY_US}
+  select stream, state, arrival_us // {tick} as tick, party, event_us, arrival_us,
+         (row_number() over (partition by stream, state, arrival_us // {tick}
                              order by arrival_us, event_us, party = 'D') - 1)
-           // {CAP + 1} as batch
+           // {cap + 1} as batch
   from valid),
 partials as (
   select stream, state, tick, batch,
          cast(sum(case when party = 'D' then 1 else 0 end) as bigint) as Dvotes,
          cast(sum(case when party <> 'D' then 1 else 0 end) as bigint) as Rvotes,
          max(event_us) as event_us,
-         case when count(*) = {CAP + 1} then max(arrival_us)
-              else (tick + 1) * {DAY_US} end as time_us,
-         count(*) = {CAP + 1} as "full"
+         case when count(*) = {cap + 1} then max(arrival_us)
+              else (tick + 1) * {tick} end as time_us,
+         count(*) = {cap + 1} as "full"
   from numbered group by stream, state, tick, batch),
 lat as (
   select stream, state, tick, batch, time_us, time_us - event_us as latency_us
-  from partials where "full"),
+  from partials),
 timed as (
   select *, time_us - min(time_us) over (partition by stream) as since_start,
          max(time_us) over (partition by stream)
@@ -66,6 +68,10 @@ trimmed as (
   select * from timed where since_start > cast({WARMUP_FRACTION} as double) * duration)"""
 
 
+FLUSHES = _flushes(DAY_US, CAP)
+DEFAULT_FLUSHES = _flushes(TICK_SECONDS * MICROS, flush_cap(RATE, NODES))
+
+
 def _seconds(expression: str) -> str:
     return f"cast({expression} as double) / cast(1000000 as double)"
 
@@ -81,20 +87,20 @@ def _quantile(p: float) -> str:
        / cast(1000000 as double) as p{p * 100:g}"""
 
 
-def _summary(rows: str) -> str:
+def _summary(rows: str, key: str = "stream") -> str:
     quantiles = ",\n       ".join(map(_quantile, QUANTILES))
     return f""",
 placed as (
-  select stream, latency_us, cast(latency_us as double) as x,
-         row_number() over (partition by stream order by latency_us) - 1 as place,
-         count(*) over (partition by stream) as samples
+  select {key}, latency_us, cast(latency_us as double) as x,
+         row_number() over (partition by {key} order by latency_us) - 1 as place,
+         count(*) over (partition by {key}) as samples
   from {rows})
-select stream, count(*) as samples,
+select {key}, count(*) as samples,
        cast(sum(latency_us) as double) / count(*) / cast(1000000 as double) as avg_latency,
        {_seconds('min(latency_us)')} as min_latency,
        {_seconds('max(latency_us)')} as max_latency,
        {quantiles}
-from placed group by stream"""
+from placed group by {key}"""
 
 
 _COLOURS = " ".join(
@@ -126,7 +132,8 @@ select id, stream, state, party, event_us, arrival_us, 'unknown_state' as reason
 from votes where state not in (select state from states)""",
     "json_roundtrip": f"with {VOTES} select id, stream, state, party, event_us from valid",
     "dedup_votes": f"""with delivered as (
-  select concat(cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar)) as id,
+  select case when epoch_us(l_shipdate) % {NO_ID} <> 0 then
+           concat(cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar)) end as id,
          ({_list(STATES)})[l_suppkey % {len(STATES)} + 1] as state,
          case when l_linestatus = 'F' then 'D' else 'R' end as party,
          epoch_us(l_shipdate) as event_us,
@@ -136,7 +143,17 @@ ranked as (
   select *, row_number() over (partition by id
                                order by event_us, state, party, arrival_us) as place
   from delivered)
-select id, state, party, event_us, arrival_us from ranked where place = 1""",
+select id, state, party, event_us, arrival_us from ranked where place = 1 or id is null""",
+    "bad_times": f"""with {VOTES},
+pushed as (
+  select id, stream, state, party, arrival_us,
+         case event_us % 3 when 0 then {1 << 62} when 1 then -{1 << 62} else event_us end as event_us
+  from votes)
+select id, stream, state, party, event_us, arrival_us,
+       case when abs(event_us) = {1 << 62} then 'bad_time' else 'unknown_state' end as reason
+from pushed where abs(event_us) = {1 << 62} or state not in (select state from states)""",
+    "party_codes": """
+select event_id, case when user_id % 2 = 1 then 'D' else 'R' end as party from events""",
     "ingest_audit": f"""with {VOTES},
 sequenced as (select *, cast(split_part(id, '-', 2) as bigint) as sequence from votes)
 select stream, {_AUDIT_COUNTS},
@@ -149,6 +166,8 @@ from sequenced group by stream""",
     "ingest_states": f"""with {VOTES}
 select stream, state, {_AUDIT_COUNTS} from votes group by stream, state""",
     "partials": f"with {FLUSHES} select * from partials",
+    "partials_json": f"with {FLUSHES} select * from partials",
+    "partials_default": f"with {DEFAULT_FLUSHES} select * from partials",
     "merge_partials": f"""with {FLUSHES}
 select state, cast(sum(Dvotes) as bigint) as Dvotes, cast(sum(Rvotes) as bigint) as Rvotes,
        max(event_us) as event_us
@@ -190,11 +209,25 @@ from bins b left join binned n on b.stream = n.stream and b.bin = n.bin
 group by b.stream, b.bin, b.least, b.greatest""",
     "latency_points": f"""with {FLUSHES}
 select stream, {_seconds('since_start')} as runtime, {_seconds('latency_us')} as latency
-from timed""",
+from trimmed""",
     "csv_roundtrip": f"""with {FLUSHES}
 select {NODES} as nodes, {RATE} as rate, {_seconds('time_us')} as time,
        {_seconds('latency_us')} as latency
 from lat""",
+    "run_summary": f"""with {FLUSHES},
+logged as (
+  select case stream {" ".join(f"when {s} then {n}" for s, (n, _) in RUNS.items())} end as nodes,
+         case stream {" ".join(f"when {s} then {r}" for s, (_, r) in RUNS.items())} end as rate,
+         latency_us
+  from lat)
+{_summary("logged", "nodes, rate")}""",
     "stream_totals": _FULL_TOTALS,
+    "stream_latencies": f"""with {VOTES}
+select stream, state, max(event_us) as event_us, true as later from valid group by stream, state""",
+    "stream_rejects": f"""with {VOTES}
+select id, state, event_us, arrival_us, 'unknown_state' as reason
+from votes where state not in (select state from states)""",
+    "stream_dedup": _FULL_TOTALS,
+    "ledger_rolled": _FULL_TOTALS,
     "stream_winners": _WINNERS,
 }

@@ -6,11 +6,14 @@ a month with few votes per state, so that both kinds of flush occur.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import seconds_of_micros
+from ..functions import encode_party, seconds_of_micros
 from ..operators import (
+    by_run,
     count_votes,
+    dedup_stream,
     dedup_votes,
     flush_partials,
+    in_micros,
     in_seconds,
     ingest_audit,
     latency_histogram,
@@ -22,29 +25,32 @@ from ..operators import (
     merge_partials,
     national_totals,
     rejected_votes,
-    relative_time,
     seed_totals,
     trim_warmup,
     valid_votes,
     votes_by_stream_and_state,
     winners,
 )
+from ..schema import MICROS, TICK_SECONDS, flush_cap
 from ..session import scratch_path
 from ..sources import (
     encode_votes,
     export_latencies,
     parse_votes,
+    party_flags_view,
     read_latencies,
-    read_vote_stream,
     repeated_votes_view,
     states_df,
+    vote_stream_view,
     votes_view,
-    write_votes,
 )
 from ..sources.latencies import run_path
+from ..sources.tables import FIRST_STREAM
 from ..streaming import (
     read_report,
     read_totals,
+    read_latency_log,
+    roll_up,
     start_counting,
     start_reporting,
     write_partials,
@@ -53,12 +59,14 @@ from ..streaming import (
 DAY_US = 86_400_000_000
 CAP = 2
 RUN = ["stream"]
+# Votes of every seventh day have no id in the query that drops repetitions.
+NO_ID = 7 * DAY_US
 
 # A run's settings, for the query that takes them from a file path.
 NODES, RATE = 2, 30_000
 
-# What one micro-batch of the stream queries takes in at most.
-MAX_BYTES = str(64 << 30)
+# Settings of the two runs of the run report, by stream.
+RUNS = {FIRST_STREAM: (1, 22_000), FIRST_STREAM + 1: (2, 30_000)}
 
 
 # --- totals ------------------------------------------------------------------
@@ -108,7 +116,21 @@ def json_roundtrip(spark, sf_dir):
 
 
 def dedup(spark, sf_dir):
-    return dedup_votes(repeated_votes_view(spark, sf_dir))
+    """Some votes have lost their id; none of those is a repetition of another."""
+    lost = F.col("event_us") % NO_ID == 0
+    votes = repeated_votes_view(spark, sf_dir)
+    return dedup_votes(votes.withColumn("id", F.when(~lost, F.col("id"))))
+
+
+def bad_times(spark, sf_dir):
+    """Rejects of votes some of which are pushed out of the range of times."""
+    votes = votes_view(spark, sf_dir)
+    far = F.when(F.col("event_us") % 3 == 0, 1 << 62).when(F.col("event_us") % 3 == 1, -(1 << 62))
+    return rejected_votes(votes.withColumn("event_us", F.coalesce(far, "event_us")))
+
+
+def party_codes(spark, sf_dir):
+    return party_flags_view(spark, sf_dir).select("event_id", encode_party("flag").alias("party"))
 
 
 def audit(spark, sf_dir):
@@ -126,6 +148,18 @@ def partials(spark, sf_dir):
     return flush_partials(valid_votes(votes_view(spark, sf_dir)), DAY_US, CAP)
 
 
+def partials_json(spark, sf_dir):
+    """The same from JSON text, with the time of arrival carried beside it."""
+    lines = encode_votes(votes_view(spark, sf_dir), ["arrival_us"])
+    return flush_partials(valid_votes(parse_votes(lines)), DAY_US, CAP)
+
+
+def partials_default(spark, sf_dir):
+    """The flushes of the default settings."""
+    votes = valid_votes(votes_view(spark, sf_dir))
+    return flush_partials(votes, TICK_SECONDS * MICROS, flush_cap(RATE, NODES))
+
+
 def merged_partials(spark, sf_dir):
     return merge_partials(partials(spark, sf_dir))
 
@@ -145,64 +179,111 @@ def latencies(spark, sf_dir):
     return in_seconds(latency_rows(partials(spark, sf_dir)))
 
 
-def _full_flushes(spark, sf_dir) -> DataFrame:
-    """Latencies without those that waited for the end of a day.
-
-    Statistics pass over them more than once, the flushes are found only once.
-    """
-    return materialise(latency_rows(partials(spark, sf_dir).where("full")))
+def _latencies(spark, sf_dir) -> DataFrame:
+    """Statistics pass over the latencies more than once, the flushes are found only once."""
+    return materialise(latency_rows(partials(spark, sf_dir)))
 
 
 def summary(spark, sf_dir):
-    return latency_summary(_full_flushes(spark, sf_dir), RUN)
+    return latency_summary(_latencies(spark, sf_dir), RUN)
 
 
 def trimmed(spark, sf_dir):
-    kept = trim_warmup(_full_flushes(spark, sf_dir), RUN)
+    kept = trim_warmup(_latencies(spark, sf_dir), RUN)
     return in_seconds(kept.select("stream", "state", "tick", "batch", "time_us", "latency_us"))
 
 
 def trimmed_summary(spark, sf_dir):
-    return latency_summary(trim_warmup(_full_flushes(spark, sf_dir), RUN), RUN)
+    return latency_summary(trim_warmup(_latencies(spark, sf_dir), RUN), RUN)
 
 
 def histogram(spark, sf_dir):
-    return latency_histogram(trim_warmup(_full_flushes(spark, sf_dir), RUN), RUN)
+    return latency_histogram(trim_warmup(_latencies(spark, sf_dir), RUN), RUN)
 
 
 def points(spark, sf_dir):
-    return latency_points(relative_time(_full_flushes(spark, sf_dir), RUN), RUN)
+    return latency_points(trim_warmup(_latencies(spark, sf_dir), RUN), RUN)
 
 
 def csv_roundtrip(spark, sf_dir):
     folder = scratch_path(spark, "latencies")
     export_latencies(
-        in_seconds(_full_flushes(spark, sf_dir)), run_path(folder, NODES, RATE)
+        in_seconds(_latencies(spark, sf_dir)), run_path(folder, NODES, RATE)
     )
     return read_latencies(spark, f"{folder}/*nodes/*.res")
 
 
+def run_summary(spark, sf_dir):
+    """The report over the logs of several runs, read back from their files."""
+    folder = scratch_path(spark, "runs")
+    logged = in_seconds(_latencies(spark, sf_dir))
+    for stream, (nodes, rate) in RUNS.items():
+        own = logged.where(F.col("stream") == stream)
+        export_latencies(own, run_path(folder, nodes, rate))
+    log = in_micros(read_latencies(spark, f"{folder}/*nodes/*.res"))
+    return by_run(latency_summary(log, ["nodes", "rate"]))
+
+
 # --- streams -----------------------------------------------------------------
 
 
 def _streamed(spark, sf_dir) -> DataFrame:
-    folder = scratch_path(spark, "votes")
-    write_votes(votes_view(spark, sf_dir), folder)
-    return read_vote_stream(spark, folder, max_bytes=MAX_BYTES)
+    """Votes as JSON text, made and parsed again within the stream."""
+    lines = encode_votes(vote_stream_view(spark, sf_dir), ["arrival_us"])
+    return parse_votes(lines)
 
 
-def stream_totals(spark, sf_dir):
+def _counted(spark, sf_dir) -> str:
     out = scratch_path(spark, "counting")
     start_counting(
         _streamed(spark, sf_dir),
         ledger=f"{out}/ledger",
         latencies=f"{out}/latencies",
         checkpoint=f"{out}/checkpoint",
+        rejects=f"{out}/rejects",
+        available_now=True,
+    ).awaitTermination()
+    return out
+
+
+def stream_totals(spark, sf_dir):
+    return read_totals(spark, f"{_counted(spark, sf_dir)}/ledger")
+
+
+def stream_latencies(spark, sf_dir):
+    """The log of a stream: which counts it has. How long they took is the clock's matter."""
+    log = read_latency_log(spark, f"{_counted(spark, sf_dir)}/latencies")
+    newest = (F.col("time_us") - F.col("latency_us")).alias("event_us")
+    return log.select("stream", "state", newest, (F.col("latency_us") > 0).alias("later"))
+
+
+def stream_rejects(spark, sf_dir):
+    rejected = spark.read.parquet(f"{_counted(spark, sf_dir)}/rejects")
+    return rejected.select("id", "state", "event_us", "arrival_us", "reason")
+
+
+def stream_dedup(spark, sf_dir):
+    """Totals of a stream in which every vote comes twice, and old ones come late."""
+    votes = vote_stream_view(spark, sf_dir)
+    twice = votes.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
+    out = scratch_path(spark, "dedup")
+    start_counting(
+        dedup_stream(valid_votes(twice)),
+        ledger=f"{out}/ledger",
+        latencies=f"{out}/latencies",
+        checkpoint=f"{out}/checkpoint",
         available_now=True,
     ).awaitTermination()
     return read_totals(spark, f"{out}/ledger")
 
 
+def ledger_rolled(spark, sf_dir):
+    out = _counted(spark, sf_dir)
+    roll_up(spark, f"{out}/ledger", f"{out}/rolled", f"{out}/checkpoint",
+            f"{out}/latencies", f"{out}/rolled-latencies")
+    return read_totals(spark, f"{out}/rolled")
+
+
 def stream_winners(spark, sf_dir):
     out = scratch_path(spark, "reporting")
     start_reporting(
@@ -223,10 +304,14 @@ QUERIES = {
     "valid_votes": valid,
     "rejects": rejects,
     "json_roundtrip": json_roundtrip,
+    "bad_times": bad_times,
+    "party_codes": party_codes,
     "dedup_votes": dedup,
     "ingest_audit": audit,
     "ingest_states": audit_by_state,
     "partials": partials,
+    "partials_json": partials_json,
+    "partials_default": partials_default,
     "merge_partials": merged_partials,
     "ledger_totals": ledger_totals,
     "latency_rows": latencies,
@@ -236,6 +321,11 @@ QUERIES = {
     "latency_histogram": histogram,
     "latency_points": points,
     "csv_roundtrip": csv_roundtrip,
+    "run_summary": run_summary,
     "stream_totals": stream_totals,
+    "stream_latencies": stream_latencies,
+    "stream_rejects": stream_rejects,
+    "stream_dedup": stream_dedup,
+    "ledger_rolled": ledger_rolled,
     "stream_winners": stream_winners,
 }

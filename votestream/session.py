@@ -1,5 +1,6 @@
 """Session set-up and the scratch folder shared by driver and executors."""
 
+import re
 import tempfile
 import uuid
 
@@ -28,14 +29,17 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only where neither the setting nor a checkpoint folder exists (a bare test
-    session) is a local folder made.
+    A folder of this machine is only made where the setting is missing and the whole
+    application runs in one process. On a cluster a missing setting is an error.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if current is None:
-        configured = configured or tempfile.mkdtemp(prefix="votestream-")
+        if configured is None:
+            if re.match(r"local(\[|$)", context.master) is None:
+                raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+            configured = tempfile.mkdtemp(prefix="votestream-")
         context.setCheckpointDir(configured)
         current = context.getCheckpointDir()
     return configured or current

@@ -2,7 +2,7 @@
 
 from .latencies import export_latencies, read_latencies
 from .states import read_states, states_df
-from .tables import repeated_votes_view, votes_view
+from .tables import party_flags_view, repeated_votes_view, vote_stream_view, votes_view
 from .votes import (
     encode_votes,
     merge_streams,
@@ -17,12 +17,14 @@ __all__ = [
     "export_latencies",
     "merge_streams",
     "parse_votes",
+    "party_flags_view",
     "read_latencies",
     "read_states",
     "read_vote_stream",
     "read_votes",
     "repeated_votes_view",
     "states_df",
+    "vote_stream_view",
     "votes_view",
     "write_votes",
 ]

@@ -26,7 +26,22 @@ def _pick(codes, column: str) -> Column:
 
 def votes_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One vote per event: two streams, all states, some unknown states and parties."""
+    return _votes_of(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
+
+
+def vote_stream_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same votes as a stream."""
+    # A pattern, as a stream does not take the name of a single file.
+    return _votes_of(spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]"))
+
+
+def party_flags_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes whose party is still a flag, 0 or 1."""
     events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return events.select("event_id", (F.col("user_id") % 2).alias("flag"))
+
+
+def _votes_of(events: DataFrame) -> DataFrame:
     stream = F.lit(FIRST_STREAM) + F.col("event_id") % 2
     kind = F.col("event_type")
     event_us = micros_of_timestamp("ts")

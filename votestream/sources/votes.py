@@ -9,6 +9,9 @@ from ..functions import micros_of_seconds, seconds_of_micros, stream_of
 from ..schema import VOTE_JSON
 
 _CORRUPT = "_corrupt"
+# Columns that parsing makes; those of the same name are not passed on.
+_OWN = ("value", "id", "state", "party", "event_time", "stream", "event_us", "malformed", "line",
+        _CORRUPT)
 _LENIENT = T.StructType(VOTE_JSON.fields + [T.StructField(_CORRUPT, T.StringType())])
 
 
@@ -18,7 +21,8 @@ def parse_votes(lines: DataFrame, strict: bool = False) -> DataFrame:
     Lenient parsing keeps every line: what cannot be read has ``malformed`` set
     and its text in ``line``. Strict parsing fails the query on such a line.
     Both leave missing fields as NULL and blank lines ``malformed``, to be told
-    apart by ``split_valid``.
+    apart by ``split_valid``. Other columns of ``lines``, such as ``arrival_us``, are
+    passed on, unless a vote has a field of that name.
     """
     if strict:
         vote = F.from_json("value", VOTE_JSON, {"mode": "FAILFAST"})
@@ -29,7 +33,8 @@ def parse_votes(lines: DataFrame, strict: bool = False) -> DataFrame:
         unreadable = F.col(_CORRUPT).isNotNull()
     # Taken apart by inline, a line is parsed once. As a plain projection it would
     # be parsed again by every filter that is pushed below it.
-    fields = lines.select(F.col("value").alias("line"), F.inline(F.array(vote)))
+    carried = [c for c in lines.columns if c not in _OWN]
+    fields = lines.select(*carried, F.col("value").alias("line"), F.inline(F.array(vote)))
     # A blank line parses to nothing without being reported. Only lines that gave
     # nothing are looked at again.
     nothing = F.coalesce("id", "state", "party", F.col("event_time").cast("string")).isNull()
@@ -43,21 +48,32 @@ def parse_votes(lines: DataFrame, strict: bool = False) -> DataFrame:
         micros_of_seconds("event_time").alias("event_us"),
         (unreadable | blank).alias("malformed"),
         "line",
+        *carried,
     )
 
 
-def encode_votes(votes: DataFrame) -> DataFrame:
-    """Votes to JSON text lines, one column ``value``."""
+def encode_votes(votes: DataFrame, carried=()) -> DataFrame:
+    """Votes to JSON text lines in a column ``value``, beside the ``carried`` columns."""
     return votes.select(
         F.to_json(
             F.struct("id", "state", "party", seconds_of_micros("event_us").alias("event_time"))
-        ).alias("value")
+        ).alias("value"),
+        *carried,
     )
 
 
+def _arrived(files: DataFrame) -> DataFrame:
+    """Lines of files, with the time their file was written as the time of arrival."""
+    written = F.unix_micros(F.col("_metadata.file_modification_time"))
+    return files.select("value", written.alias("arrival_us"))
+
+
 def read_votes(spark: SparkSession, path, strict: bool = False) -> DataFrame:
-    """All votes below ``path`` (a folder, a glob, or a list of them)."""
-    return parse_votes(spark.read.text(path), strict)
+    """All votes below ``path`` (a folder, a glob, or a list of them).
+
+    A vote arrives when its file is written.
+    """
+    return parse_votes(_arrived(spark.read.text(path)), strict)
 
 
 def read_vote_stream(
@@ -69,15 +85,16 @@ def read_vote_stream(
 ) -> DataFrame:
     """Votes from files as they appear below ``path``.
 
-    ``max_files`` or ``max_bytes`` bound what one micro-batch may take in. A
-    message queue is read the same way: hand its text column to ``parse_votes``.
+    ``max_files`` or ``max_bytes`` bound what one micro-batch may take in. A vote arrives
+    when its file is written. A message queue is read the same way: hand ``parse_votes`` its text as
+    ``value`` and the time of a message in microseconds as ``arrival_us``.
     """
     reader = spark.readStream.format("text").schema("value string")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return parse_votes(reader.load(path), strict)
+    return parse_votes(_arrived(reader.load(path)), strict)
 
 
 def merge_streams(streams: Iterable[DataFrame]) -> DataFrame:

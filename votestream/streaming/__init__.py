@@ -2,6 +2,7 @@
 
 from .jobs import start_counting, start_reporting
 from .ledger import (
+    last_committed,
     read_latency_log,
     read_ledger,
     read_report,
@@ -14,6 +15,7 @@ from .ledger import (
 )
 
 __all__ = [
+    "last_committed",
     "read_latency_log",
     "read_ledger",
     "read_report",

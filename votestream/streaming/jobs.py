@@ -1,5 +1,6 @@
 """The running jobs: count votes tick by tick, and keep the reports fresh."""
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -7,7 +8,7 @@ from ..operators.counting import count_votes, national_totals, seed_totals
 from ..operators.flushing import flush_partials
 from ..operators.latency import latency_rows
 from ..operators.reporting import map_table, winners
-from ..operators.validity import rejected_votes, valid_votes
+from ..operators.validity import classified_votes, valid_votes
 from ..schema import TICK_SECONDS
 from ..sources.states import states_df
 from .ledger import files_for, write_latencies, write_partials, write_rejects, write_report
@@ -16,8 +17,7 @@ from .ledger import files_for, write_latencies, write_partials, write_rejects, w
 _ONE_TICK_US = 1 << 62
 
 
-# Counts are merged before they are shuffled, so a row per state, or per stream and
-# state, needs few partitions however many votes come in.
+# The running totals of the reports have a row per listed state, and a state store each.
 FEW_PARTITIONS = 8
 _PARTITIONS = "spark.sql.shuffle.partitions"
 
@@ -53,20 +53,35 @@ def start_counting(
     rejects: str | None = None,
     states: DataFrame | None = None,
     available_now: bool = False,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Count a stream of votes into ``ledger``, one flush per micro-batch.
 
     Each micro-batch is a tick: its counts per (stream, state) are written, and a
     state without votes has no row. With a ``cap`` a count is also closed
-    whenever it holds ``cap + 1`` votes, in order of event time. How long each
-    count took since its newest vote goes to ``latencies``, votes that cannot be
-    counted go to ``rejects`` if given.
+    whenever it holds ``cap + 1`` votes, in order of arrival (of event time where the
+    votes have no ``arrival_us``). How long each count took since its newest vote goes to
+    ``latencies``, votes that cannot be counted go to ``rejects`` if given.
 
-    No watermark is involved: a vote counts however late it is.
+    No watermark is involved: a vote counts however late it is. ``partitions`` of shuffles are
+    those of the session unless given; a stream keeps the number it was first started with.
     """
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        counted = _count_tick(valid_votes(batch, states), cap).persist()
+        if rejects is None and cap is None:
+            write(valid_votes(batch, states), None, batch_id)
+            return
+        # Votes are needed more than once, so they are parsed and told apart once.
+        told = classified_votes(batch, states).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            turned_away = told.where(F.col("reason").isNotNull())
+            kept = [c for c in batch.columns if c not in ("malformed", "line", "event_time")]
+            write(told.where(F.col("reason").isNull()).select(*kept), turned_away, batch_id)
+        finally:
+            told.unpersist()
+
+    def write(counted_votes: DataFrame, turned_away, batch_id: int) -> None:
+        counted = _count_tick(counted_votes, cap).persist()
         try:
             files = files_for(counted.count())
             # The clock is read after counting, when this next query is planned.
@@ -74,7 +89,7 @@ def start_counting(
             write_latencies(latency_rows(arrived), batch_id, latencies, files)
             write_partials(counted, batch_id, ledger, files)
             if rejects is not None:
-                write_rejects(rejected_votes(batch, states), batch_id, rejects)
+                write_rejects(turned_away, batch_id, rejects)
         finally:
             counted.unpersist()
 
@@ -84,15 +99,16 @@ def start_counting(
         checkpoint,
         tick_seconds,
         available_now,
-        partitions=FEW_PARTITIONS if cap is None else None,
+        partitions=partitions,
     )
 
 
 def _count_tick(votes: DataFrame, cap: int | None) -> DataFrame:
     if cap is None:
         return count_votes(votes, ["stream", "state"])
-    arrived = votes.withColumn("arrival_us", F.col("event_us"))
-    return flush_partials(arrived, _ONE_TICK_US, cap)
+    if "arrival_us" not in votes.columns:
+        votes = votes.withColumn("arrival_us", F.col("event_us"))
+    return flush_partials(votes, _ONE_TICK_US, cap)
 
 
 def start_reporting(

@@ -70,14 +70,39 @@ def read_totals(spark: SparkSession, path: str, states: DataFrame | None = None)
     return seed_totals(states_df(spark) if states is None else states, totals)
 
 
-def roll_up(spark: SparkSession, path: str, target: str) -> None:
+def last_committed(spark: SparkSession, checkpoint: str) -> int:
+    """The newest batch that a stream's checkpoint knows to be complete; -1 if none is."""
+    commits = spark.read.format("text").option("pathGlobFilter", "[0-9]*").option(
+        "recursiveFileLookup", "true").load(f"{checkpoint.rstrip('/')}/commits")
+    newest = commits.select(F.col("_metadata.file_name").try_cast("bigint").alias("id"))
+    found = newest.agg(F.max("id")).first()[0]
+    return -1 if found is None else found
+
+
+def roll_up(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    checkpoint: str,
+    latencies: str | None = None,
+    latency_target: str | None = None,
+) -> None:
     """Copy a long ledger to ``target``, its batches merged into a single one.
 
-    For a stopped stream that goes on with ``target`` as its ledger: batch ids
-    count on from where they were, and the merged batch has an id none of them use.
+    For a stopped stream that goes on with ``target`` as its ledger: batch ids count on
+    from where they were, and the merged batch has an id none of them use. A batch that
+    was written but not committed will be run again under its own id, so it is left out.
+    The log of latencies is copied into few files the same way, if given.
     """
-    merged = merge_partials(read_ledger(spark, path), ["stream", "state"])
+    pairs = [(path, target), *([(latencies, latency_target)] if latencies is not None else [])]
+    if any(b is None or a.rstrip("/") == b.rstrip("/") for a, b in pairs):
+        raise ValueError("a ledger is rolled up into another folder than its own")
+    done = F.col(BATCH) <= last_committed(spark, checkpoint)
+    merged = merge_partials(read_ledger(spark, path).where(done), ["stream", "state"])
     write_partials(merged, -1, target)
+    if latencies is not None:
+        log = read_latency_log(spark, latencies).where(done)
+        write_latencies(log, -1, latency_target, files_for(log.count()))
 
 
 # --- reports -----------------------------------------------------------------
