@@ -55,10 +55,17 @@ class _Bare(_Spaced):
 
 
 class Encoder:
-    """``encode`` gives the ids of a text as bytes, by a function that encodes any text."""
+    """``encode`` gives the ids of a text as bytes, by a function that encodes any text.
 
-    def __init__(self, whole: Callable[[str], bytes]):
-        self.whole = whole
+    ``many``, if given, encodes a list of words at once, which is faster where calls are dear:
+    with a space before each, or as they are, for which it may put line feeds between them.
+    """
+
+    def __init__(
+        self, whole: Callable[[str], bytes],
+        many: Callable[[list[str], str], list[bytes]] | None = None,
+    ):
+        self.whole, self.many = whole, many
         self.spaced, self.bare = _Spaced(self), _Bare(self)
         self.line_feed = whole("\n")
 
@@ -79,11 +86,32 @@ class Encoder:
         if not text:
             return b""
         words = text.split(" ")
+        known = list(map(self.spaced.get, words))
+        known[0] = self.bare.get(words[0])
+        if None not in known:
+            return b"".join(known)
+        if self.many is not None:
+            self._prepare({w for w, ids in zip(words[1:], known[1:]) if ids is None})
         try:
             return b"".join([self.bare[words[0]], *map(self.spaced.__getitem__, words[1:])])
         except _Awkward:
             return self._with_care(text)
 
+    def _prepare(self, words: set[str]) -> None:
+        """Learns new words together, those within lines with a space and those that begin one without."""
+        spaced, bare = set(), set()
+        for word in words:
+            first, *rest = word.split("\n")
+            if all(map(_solid, (first, *rest))):
+                spaced.add(first)
+                bare.update(rest)
+        for memory, new, before in ((self.spaced, spaced, " "), (self.bare, bare, "\n")):
+            new = [w for w in new if len(w) <= LONGEST and w not in memory]
+            if len(new) > 1:
+                if len(memory) + len(new) > MEMORY:
+                    memory.clear()
+                memory.update(zip(new, self.many(new, before)))
+
     def _with_care(self, text: str) -> bytes:
         pieces = _CUT.split(text)
         ids = [self._piece(self.bare, pieces[0], "")]

@@ -39,7 +39,17 @@ def _encoder(path: str) -> Encoder:
         ids = tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}i", *ids)
 
-    return Encoder(whole)
+    def many(words: list[str], before: str) -> list[bytes]:
+        found = tokenizer.encode(before + before.join(words), add_special_tokens=False)
+        # A token belongs to the first word that ends where it does or later.
+        ends = np.cumsum([len(w) + 1 for w in words])
+        owner = np.searchsorted(ends, [end for _, end in found.offsets])
+        ids = np.array(found.ids, "<i4").tobytes()
+        cuts = (4 * np.searchsorted(owner, np.arange(len(words) + 1))).tolist()
+        skip = 4 if before == "\n" else 0  # a line feed is a token of its own
+        return [ids[a + skip : b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+    return Encoder(whole, many)
 
 
 def token_ids(documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
