@@ -34,8 +34,8 @@ def attach(
     The rows of ``facts`` are counted first unless their ``count`` is known, so
     they should be materialised. They are broadcast when there are at most
     ``broadcast_rows``. Beyond that both sides are shuffled, with the rows of each
-    key spread over salts, so that a key holding a large share of all rows still
-    becomes many tasks.
+    key spread over as many salts as there are shuffle partitions (``SALTS`` at least), so
+    that a key holding a large share of all rows still becomes many tasks.
     """
     if count is None:
         count = facts.limit(broadcast_rows + 1).count()
@@ -59,8 +59,9 @@ def _join(rows, facts, keys, few, how):
     if few:
         facts = F.broadcast(facts)
     else:
-        rows = rows.withColumn(_SALT, F.spark_partition_id() % SALTS)
-        facts = facts.withColumn(f"_{_SALT}", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salts = max(SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        rows = rows.withColumn(_SALT, F.spark_partition_id() % salts)
+        facts = facts.withColumn(f"_{_SALT}", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         same.append(F.col(_SALT) == F.col(f"_{_SALT}"))
     return rows.join(facts, reduce(lambda a, b: a & b, same), how).select(*kept)
 
