@@ -7,10 +7,13 @@ from ..session import scratch_path
 from .bpe import decode_ids, encode_texts
 from .chat import format_chats, read_turns
 from .decontamination import contamination
+from .fingerprints import compared_fingerprints, learn_ranks
 from .line_dedup import MIN_CHARS, MIN_SITES, without_boilerplate
 from .near_dedup import near_duplicates
+from .negatives import hard_negatives
 from .passages import near_duplicate_passages
 from .quality import quality
+from .spelling import runs, spelling_variants, vocabulary, with_slips
 from .suffix_dedup import without_repeats
 from .toxicity import THRESHOLD, held_out, learn, with_scores
 from .token_files import token_index, write_token_ids
@@ -143,6 +146,27 @@ def op10_near_dedup(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """Per anchor and positive: the best rows of other labels that score somewhat lower."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10)
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", moved.otherwise(F.col("label")).alias("label"), "embedding"
+    )
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_spelling_variants(spark, sf_dir):
+    """Per word: how often it occurs, and the more frequent word it is a variant of."""
+    found = with_slips(runs(table(spark, sf_dir, "documents")))
+    return spelling_variants(vocabulary(found))
+
+
+def op13_fingerprints(spark, sf_dir):
+    """Per document: its fingerprint, its edited text's, and how alike it and the next one are."""
+    documents = table(spark, sf_dir, "documents")
+    return compared_fingerprints(documents, learn_ranks(documents))
+
+
 QUERIES = {
     "op1_passages": op1_passages,
     "op2_chat_format": op2_chat_format,
@@ -154,6 +178,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_near_dedup": op10_near_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLE_SQL = {
@@ -197,4 +224,74 @@ rest as (
 select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed,
        coalesce(r.text, d.text) as text
 from documents d left join rest r using (doc_id)""",
+    "op11_hard_negatives": """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as own
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+         cast(list_inner_product(a.own, r.own) as bigint) as score
+  from rows a join rows r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id,
+       cast(row_number() over (partition by p.anchor_id, p.positive_id
+                               order by s.score desc, s.vec_id) as integer) as rank,
+       s.vec_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scored s on p.anchor_id = s.anchor_id
+where not s.same and 80 * p.positive_score <= 100 * s.score and s.score <= p.positive_score
+qualify rank <= 5""",
+    # The crc32 is worked out over the bytes; letters beyond ASCII have two in UTF-8.
+    "op12_spelling_variants": r"""
+with recursive steps as (
+  select range as place, range as c, 0 as i from range(256)
+  union all
+  select place, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i + 1 from steps where i < 8),
+remainders as (select list(c order by place) as r from steps where i = 8),
+found as (
+  select doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as run
+  from documents),
+counted as (select doc_id, run, count(*) as n from found group by doc_id, run),
+hashed as (
+  select run, n,
+         xor(list_reduce(
+           list_prepend(4294967295, flatten(list_transform(string_split(concat(doc_id, ':', run), ''),
+             lambda x: case when unicode(x) < 128 then [unicode(x)] else [195, unicode(x) - 64] end))),
+           lambda c, b: xor(c >> 8, r[xor(c & 255, b) + 1])), 4294967295) as h
+  from counted, remainders),
+slipped as (
+  select case when h % 31 = 0
+              then concat(substring(run, 1, h % length(run)), substring(run, h % length(run) + 2)) else run end as word,
+         n
+  from hashed),
+words as (
+  select word, cast(sum(n) as bigint) as n from slipped where length(word) >= 7 group by word having sum(n) >= 2),
+cuts as (
+  select word, n, i, concat(substring(word, 1, i - 1), substring(word, i + 1)) as rest
+  from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+pairs as (
+  select a.word, b.word as other, b.n as n_other from cuts a join cuts b on a.i = b.i and a.rest = b.rest
+  where length(a.word) = length(b.word) and a.word <> b.word
+  union select a.word, b.word, b.n from cuts a join words b on a.rest = b.word
+  union select b.word, a.word, a.n from cuts a join words b on a.rest = b.word),
+nearest as (
+  select word, count(*) as n_near,
+         first(struct_pack(form := other, n := n_other) order by n_other desc, encode(other)) as most
+  from pairs group by word),
+formed as (
+  select w.word, w.n, coalesce(p.n_near, 0) as n_near,
+         case when p.most.n >= 10 * w.n then p.most.form end as form,
+         case when p.most.n >= 10 * w.n then p.most.n end as form_n
+  from words w left join nearest p on w.word = p.word),
+paths as (
+  select word, word as root from formed
+  union all
+  select p.word, f.form from paths p join formed f on p.root = f.word where f.form is not null),
+roots as (select p.word, p.root from paths p join formed f on p.root = f.word where f.form is null)
+select f.word, f.form, r.root, f.n, f.n_near, f.form_n from formed f join roots r on f.word = r.word""",
 }
