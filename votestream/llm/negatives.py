@@ -228,7 +228,7 @@ def _windows(chosen: DataFrame, slots: DataFrame, negatives: int, least: int) ->
             F.struct(
                 s["slot"].alias("slot"),
                 F.slice(
-                    F.concat(s["top"], F.coalesce(F.element_at(done, -1)["top"], F.array().cast("array<struct<down:bigint,vec_id:bigint>>"))),
+                    F.concat(s["top"], F.coalesce(F.try_element_at(done, F.lit(-1))["top"], F.array().cast("array<struct<down:bigint,vec_id:bigint>>"))),
                     1, negatives,
                 ).alias("top"),
             ),
@@ -242,7 +242,7 @@ def _windows(chosen: DataFrame, slots: DataFrame, negatives: int, least: int) ->
         "anchor_id", F.col("vec_id").alias("positive_id"), (-F.col("down")).alias("positive_score"),
         (F.array_position("limits", F.col("down")) - 1).cast("int").alias("own"),
     )
-    at = F.element_at(F.filter("below", lambda b: b["slot"] >= F.col("own")), -1)["top"]
+    at = F.try_element_at(F.filter("below", lambda b: b["slot"] >= F.col("own")), F.lit(-1))["top"]
     inside = F.filter(at, lambda n: -100 * n["down"] >= least * F.col("positive_score"))
     picked = each.where("positive_score >= 0").join(below, "anchor_id").withColumn("found", inside)
     return picked.select("anchor_id", "positive_id", "positive_score", F.posexplode("found").alias("i", "n")).select(
