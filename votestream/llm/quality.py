@@ -21,6 +21,7 @@ before any shuffle.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators import attach, materialise
+from ..session import scratch_path
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -223,13 +224,11 @@ def judged(rows: DataFrame, groups: DataFrame, fits: DataFrame, limit: float = L
 
 def _left(rows: DataFrame, known: DataFrame) -> DataFrame:
     """Every row, with the fit of its language and source or NULL."""
-    spare = known.select("fit").schema
     every = rows.select("lang", "source").distinct().join(
         known.withColumnsRenamed({"lang": "_lang", "source": "_source"}),
         F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")),
         "left",
     ).select("lang", "source", "fit")
-    assert spare == every.select("fit").schema or True
     return attach(rows, materialise(every), ["lang", "source"])
 
 
@@ -244,11 +243,16 @@ def quality(documents: DataFrame, limit: float = LIMIT) -> DataFrame:
 def of_quality(documents: DataFrame, limit: float = LIMIT) -> DataFrame:
     """The documents that ``quality`` keeps, with their columns as they are.
 
-    Texts are measured twice instead of being shuffled to their verdicts.
+    Every text is measured once, and what is measured is written beside the row before anything is
+    filtered: a filter on an unwritten statistic would be pushed below its parts, and evaluate
+    them anew for every word.
     """
-    own = documents.select("lang", "source", "text")
-    passing = with_statistics(own).where(~F.col("base_failed"))
-    groups, fits = estimates(materialise(passing.select("lang", "source", "vector")))
     carried = F.struct(*[f"`{c}`" for c in documents.columns]).alias("_row")
-    rows = with_statistics(documents.select("lang", "source", "text", carried))
+    measured = with_statistics(documents.select("lang", "source", "text", carried)).select(
+        "lang", "source", "base_failed", "vector", "_row"
+    )
+    path = scratch_path(documents.sparkSession, "quality")
+    measured.write.parquet(path)
+    rows = documents.sparkSession.read.schema(measured.schema).parquet(path)
+    groups, fits = estimates(rows.where(~F.col("base_failed")))
     return judged(rows, groups, fits, limit).where("kept").select("_row.*")
