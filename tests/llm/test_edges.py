@@ -2,10 +2,12 @@
 
 import hashlib
 import os
+import zlib
 
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import brute
 import corpus_pipeline
@@ -239,3 +241,20 @@ def test_stages(spark, small, odd, none):
             out = stage(spark, docs, small[0])
             assert name == "tokens" or out.columns == docs.columns
             assert out.count() <= rows
+
+
+def test_token_files_as_the_library_encodes(spark, documents, tmp_path):
+    """Special strings are special, and rows that share a doc_id say where their own ids lie."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "x<|endoftext|>", "plain words here", "plain", None, "one two three four"]
+    rows = [(1, t, "en", "s") for t in texts] + [(2, "<|endoftext|>", "en", "s"), (0, "first", "en", "s")]
+    write_token_ids(documents(*rows), path, str(tmp_path / "ids"))
+    wanted = sorted((i, *library.encode(t or "", add_special_tokens=False).ids, 0) for i, t, *_ in rows)
+    found = read_token_ids(spark, str(tmp_path / "ids")).collect()
+    assert sorted((r.doc_id, *r.ids) for r in found) == wanted and (1, 64, 220, 50256, 275, 0) in wanted
+    # The ids one after the other, as the places in the index say.
+    index = sorted(token_index(spark, str(tmp_path / "ids")).collect(), key=lambda r: r.start)
+    assert [r.start for r in index] == [sum(x.n_tokens for x in index[:i]) for i in range(len(index))]
+    in_files = [(r.doc_id, list(r.ids)) for r in spark.read.orc(str(tmp_path / "ids")).orderBy("doc_id", "before").collect()]
+    assert [(r.doc_id, r.ids_crc32) for r in index] == [(i, zlib.crc32(brute.packed(ids))) for i, ids in in_files]

@@ -67,7 +67,6 @@ def test_op1(spark, small):
 def test_op3(spark, small):
     sf_dir, docs = small
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     wanted, start = {}, 0
     for d in sorted(docs):
         ids = tokenizer.encode(docs[d] or "", add_special_tokens=False).ids + [0]

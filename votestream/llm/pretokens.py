@@ -8,7 +8,7 @@ natural text consists of few words that are repeated often. The memory is bounde
 """
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 #: Entries of the memory. When it is full it is emptied, so it holds what is in use.
 MEMORY = 400_000
@@ -58,14 +58,17 @@ class Encoder:
     """``encode`` gives the ids of a text as bytes, by a function that encodes any text.
 
     ``many``, if given, encodes a list of words at once, which is faster where calls are dear:
-    with a space before each, or as they are, for which it may put line feeds between them.
+    with a space before each, or as they are, for which it may put line feeds between them. A text
+    in which one of ``added`` occurs is encoded in one go. At most ``memory`` words are remembered.
     """
 
     def __init__(
         self, whole: Callable[[str], bytes],
         many: Callable[[list[str], str], list[bytes]] | None = None,
+        added: Sequence[str] = (),
+        memory: int = MEMORY,
     ):
-        self.whole, self.many = whole, many
+        self.whole, self.many, self.added, self.memory = whole, many, added, memory
         self.spaced, self.bare = _Spaced(self), _Bare(self)
         self.line_feed = whole("\n")
 
@@ -77,7 +80,7 @@ class Encoder:
                 return self.line_feed.join([memory[lines[0]], *(bare[x] for x in lines[1:])])
         ids = self.whole(before + word)
         if len(word) <= LONGEST:
-            if len(memory) >= MEMORY:
+            if len(memory) >= self.memory:
                 memory.clear()
             memory[word] = ids
         return ids
@@ -85,6 +88,8 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(map(text.__contains__, self.added)):
+            return self.whole(text)
         words = text.split(" ")
         known = list(map(self.spaced.get, words))
         known[0] = self.bare.get(words[0])
@@ -108,7 +113,7 @@ class Encoder:
         for memory, new, before in ((self.spaced, spaced, " "), (self.bare, bare, "\n")):
             new = [w for w in new if len(w) <= LONGEST and w not in memory]
             if len(new) > 1:
-                if len(memory) + len(new) > MEMORY:
+                if len(memory) + len(new) > self.memory:
                     memory.clear()
                 memory.update(zip(new, self.many(new, before)))
 

@@ -27,13 +27,17 @@ FALSE_POSITIVES = 0.01
 ROWS = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("ids", T.ArrayType(T.IntegerType())),
+    T.StructField("before", T.LongType()),  # ids of this file in front of the row
 ])
+#: Words whose ids a task remembers; invented or rare words make up much of a large corpus.
+MEMORY = 1_000_000
 
 
 @cache
 def _encoder(path: str) -> Encoder:
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    # The library finds these anywhere in a text, also within a word.
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def whole(text: str) -> bytes:
         ids = tokenizer.encode(text, add_special_tokens=False).ids
@@ -49,11 +53,12 @@ def _encoder(path: str) -> Encoder:
         skip = 4 if before == "\n" else 0  # a line feed is a token of its own
         return [ids[a + skip : b] for a, b in zip(cuts[:-1], cuts[1:])]
 
-    return Encoder(whole, many)
+    return Encoder(whole, many, added, MEMORY)
 
 
 def token_ids(documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id`` and ``ids`` of every text, with ``end_id`` behind them.
+    """``doc_id`` and ``ids`` of every text, with ``end_id`` behind them, and the ids ``before``
+    them in the same partition.
 
     ``tokenizer`` names a file of the tokenizers library with byte-level pre-tokens, which
     must be there on every machine. A NULL text is empty, and has the end id only.
@@ -61,13 +66,15 @@ def token_ids(documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> Dat
     end = struct.pack("<i", end_id)
 
     def encode(batches):
-        encoder = _encoder(tokenizer)
+        encoder, before = _encoder(tokenizer), 0
         for batch in batches:
             ids = [encoder.encode(text.as_py() or "") + end for text in batch.column(1)]
             sizes = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
             values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+            starts = pa.array(sizes[:-1].astype(np.int64) + before)
+            before += int(sizes[-1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(sizes), values)], ROWS.names
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(sizes), values), starts], ROWS.names
             )
 
     return in_arrow(documents.select(F.col("doc_id").cast("bigint"), "text"), encode, ROWS)
@@ -92,7 +99,7 @@ def write_token_ids(documents: DataFrame, tokenizer: str, path: str, end_id: int
 
 def read_token_ids(spark: SparkSession, path: str, doc_ids=None) -> DataFrame:
     """``doc_id`` and ``ids``; of ``doc_ids`` only, if given, which reach the file index."""
-    rows = spark.read.schema(ROWS).orc(path)
+    rows = spark.read.schema(ROWS).orc(path).select("doc_id", "ids")
     return rows if doc_ids is None else rows.where(F.col("doc_id").isin(list(doc_ids)))
 
 
@@ -102,8 +109,8 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     ``start`` counts the ids of all documents before it. Totals are formed by file, and
     only those, one row a file, are put in order in one place.
     """
-    rows = read_token_ids(spark, path).select("doc_id", "ids", F.col("_metadata.file_path").alias("file"))
-    schema = "doc_id bigint, file string, n_tokens bigint, ids_crc32 bigint"
+    rows = spark.read.schema(ROWS).orc(path).select("*", F.col("_metadata.file_path").alias("file"))
+    schema = "doc_id bigint, file string, before bigint, n_tokens bigint, ids_crc32 bigint"
 
     def measure(batches):
         for batch in batches:
@@ -112,19 +119,16 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
             values = memoryview(np.ascontiguousarray(ids.values.to_numpy(), "<i4")).cast("B")
             sums = [zlib.crc32(values[4 * a : 4 * b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(np.diff(at), pa.int64()),
+                [batch.column(0), batch.column(3), batch.column(2), pa.array(np.diff(at), pa.int64()),
                  pa.array(sums, pa.int64())],
-                ["doc_id", "file", "n_tokens", "ids_crc32"],
+                ["doc_id", "file", "before", "n_tokens", "ids_crc32"],
             )
 
     measured = materialise(in_arrow(rows, measure, schema))
-    before = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
     files = measured.groupBy("file").agg(F.sum("n_tokens").alias("total"), F.min("doc_id").alias("least"))
     # A file with only NULL ids has no least one, and NULL comes first in any case.
-    in_order = F.sum("total").over(before(Window.orderBy("least", "total", "file")))
-    files = files.select("file", F.coalesce(in_order, F.lit(0)).alias("files_before"))
-    within = F.sum("n_tokens").over(before(Window.partitionBy("file").orderBy("doc_id", "ids_crc32")))
+    earlier = Window.orderBy("least", "total", "file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("files_before"))
     return measured.join(files, "file").select(
-        "doc_id", (F.col("files_before") + F.coalesce(within, F.lit(0))).alias("start"),
-        "n_tokens", "ids_crc32",
+        "doc_id", (F.col("files_before") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )
