@@ -1,9 +1,9 @@
 """Operators: functions from DataFrames to DataFrames."""
 
-from .auditing import ingest_audit, votes_by_stream_and_state
+from .auditing import ingest_audit, missing_ranges, votes_by_stream_and_state
 from .counting import count_votes, merge_partials, national_totals, seed_totals
 from .dedup import dedup_stream, dedup_votes
-from .flushing import flush_partials
+from .flushing import carry_flushes, flush_partials
 from .joining import attach, materialise, ordered
 from .latency import (
     by_run,
@@ -23,6 +23,7 @@ from .validity import classified_votes, rejected_votes, split_valid, valid_votes
 __all__ = [
     "attach",
     "by_run",
+    "carry_flushes",
     "classified_votes",
     "count_votes",
     "dedup_stream",
@@ -39,6 +40,7 @@ __all__ = [
     "map_table",
     "materialise",
     "merge_partials",
+    "missing_ranges",
     "national_totals",
     "ordered",
     "rejected_votes",

@@ -72,7 +72,8 @@ def flush_partials(
         return _flush_rows(groups, tick_us, None)
 
     size = cap + 1
-    finished, pieces = _cut(arrived, size, tick_us, sort_rows, broadcast_rows)
+    groups = _cut_by_count(_count(arrived.groupBy(*GROUP)), F.lit(0).cast("bigint"), size)
+    finished, pieces = _cut(arrived, groups, size, tick_us, sort_rows, broadcast_rows)
     if pieces:
         finished = finished.unionByName(
             _add_up(reduce(DataFrame.unionByName, pieces), GROUP + ["batch"])
@@ -80,11 +81,50 @@ def flush_partials(
     return _flush_rows(finished, tick_us, size)
 
 
-def _cut(arrived, size, tick_us, sort_rows, broadcast_rows):
-    """Flushes found complete, and pieces of flushes still to be added up."""
+HELD = ["stream", "state", "votes", "Dvotes", "Rvotes", "event_us"]
+
+
+def carry_flushes(
+    votes: DataFrame,
+    held: DataFrame,
+    cap: int,
+    sort_rows: int = SORT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """Counts that reach the cap with these votes, and what the counters hold after them.
+
+    ``held`` has a row (``HELD``) for each counter, that is (stream, state), that holds votes: at
+    most ``cap`` of them, which came before ``votes``. A counter goes on from there, in order of arrival. The
+    flushed counts have ``cap + 1`` votes each and the columns of ``HELD``. There is one row of ``held`` for a
+    counter at most, so only counts are joined to it and never votes.
+    """
+    size = cap + 1
+    arrived = votes.select(
+        "stream", "state", F.lit(0).cast("bigint").alias("tick"), "arrival_us", "event_us",
+        is_democrat("party").alias("democrat"),
+    )
+    before = held.select(F.col("stream").alias("_stream"), F.col("state").alias("_state"), F.col("votes").alias("before"))
+    same = F.col("stream").eqNullSafe(F.col("_stream")) & F.col("state").eqNullSafe(F.col("_state"))
+    counted = _count(arrived.groupBy(*GROUP)).join(before, same, "left").drop("_stream", "_state")
+    groups = _cut_by_count(counted, F.coalesce("before", F.lit(0)), size, "before")
+    finished, pieces = _cut(arrived, groups, size, 1 << 62, sort_rows, broadcast_rows, carried=True)
+    carried = held.select(
+        "stream", "state", F.lit(0).cast("bigint").alias("tick"), F.lit(0).cast("bigint").alias("batch"),
+        "votes", "Dvotes", "Rvotes", F.col("event_us").alias("newest_us"),
+        F.lit(None).cast("bigint").alias("arrived_us"),
+    )
+    every = _add_up(reduce(DataFrame.unionByName, [finished, carried, *pieces]), GROUP + ["batch"])
+    every = materialise(every.select("stream", "state", "votes", "Dvotes", "Rvotes", F.col("newest_us").alias("event_us")))
+    return every.where(F.col("votes") == size), every.where(F.col("votes") < size)
+
+
+def _cut(arrived, groups, size, tick_us, sort_rows, broadcast_rows, carried=False):
+    """Flushes found complete, and pieces of flushes still to be added up.
+
+    ``groups`` are counted, and say at which position of a flush each begins: 0, unless counts are
+    ``carried`` over.
+    """
     width = isqrt(min(tick_us, LONGEST_TICK_US)) + 1
-    start = F.lit(0).cast("bigint")
-    groups = _cut_by_count(arrived.groupBy(*GROUP), start, size)
     whole = groups.where("not cut").select(*_PIECE)
     small, large = _cut_sizes(groups, sort_rows)
     if small > broadcast_rows:
@@ -92,7 +132,11 @@ def _cut(arrived, size, tick_us, sort_rows, broadcast_rows):
         huge = groups.where(F.col("votes") > sort_rows)
         whole = huge.where("not cut").select(*_PIECE)
         sortable = leave_out(arrived, huge.select(*GROUP), GROUP, broadcast_rows)
-        whole = whole.unionByName(_sort_and_cut(sortable.withColumn("start", start), GROUP, size))
+        if carried:
+            sortable = attach(sortable, groups.select(*GROUP, "start"), GROUP, broadcast_rows)
+        else:
+            sortable = sortable.withColumn("start", F.lit(0).cast("bigint"))
+        whole = whole.unionByName(_sort_and_cut(sortable, GROUP, size))
     elif small:
         facts = groups.where(F.col("cut") & (F.col("votes") <= sort_rows)).select(*GROUP, "start")
         sortable = attach(arrived, facts, GROUP, broadcast_rows, small)
@@ -114,7 +158,7 @@ def _cut(arrived, size, tick_us, sort_rows, broadcast_rows):
         )
         start = F.col("start") + F.coalesce(F.sum("votes").over(before), F.lit(0))
         keys = keys + division
-        nodes = _cut_by_count(remaining.groupBy(*keys, "start"), start, size)
+        nodes = _cut_by_count(_count(remaining.groupBy(*keys, "start")), start, size)
         remaining = remaining.drop("start")
         pieces.append(nodes.where("not cut").select(*_PIECE))
         if "democrat" in division:
@@ -128,11 +172,11 @@ def _cut(arrived, size, tick_us, sort_rows, broadcast_rows):
     return whole, pieces
 
 
-def _cut_by_count(grouped, start, size):
+def _cut_by_count(counted, start, size, *spare):
     """Counts per piece, where it starts, and whether a flush boundary cuts it."""
     return materialise(
-        _count(grouped)
-        .withColumn("start", start)
+        counted.withColumn("start", start)
+        .drop(*spare)
         .withColumn("batch", _div("start", size))
         .withColumn("last_batch", _div(F.col("start") + F.col("votes") - 1, size))
         .withColumn("cut", F.col("batch") < F.col("last_batch"))

@@ -1,9 +1,9 @@
 """Each query as SQL over the same tables, for an engine to check it against."""
 
 from ..schema import (HISTOGRAM_BINS, MICROS, PARTY_COLOURS, QUANTILES, STATES, TICK_SECONDS,
-                      WARMUP_FRACTION, flush_cap)
+                      WARMUP_FRACTION, flush_cap, row_budget)
 from ..sources.tables import CODES, FIRST_STREAM
-from .queries import CAP, DAY_US, NO_ID, NODES, RATE, RUNS
+from .queries import (CAP, DAY_US, FEW_STEPS, NO_ID, NODES, RATE, RUNS, STEPS, WIDE_CAP)
 
 
 def _list(codes) -> str:
@@ -161,10 +161,20 @@ select stream, {_AUDIT_COUNTS},
        max(sequence) + 1 - count(distinct sequence) as missing,
        cast(count(*) as double)
          / (cast(nullif(max(event_us) - min(event_us), 0) as double)
-            / cast(1000000 as double)) as votes_per_second
+            / cast(1000000 as double)) as votes_per_second,
+       {row_budget(RATE, NODES)} - count(*) as short_of_budget
 from sequenced group by stream""",
     "ingest_states": f"""with {VOTES}
 select stream, state, {_AUDIT_COUNTS} from votes group by stream, state""",
+    "missing_ranges": f"""with {VOTES},
+numbered as (select stream, cast(split_part(id, '-', 2) as bigint) as sequence from valid),
+expected as (
+  select stream, unnest(range(top + 1)) as sequence
+  from (select stream, max(sequence) as top from numbered group by stream)),
+gone as (
+  select *, sequence - row_number() over (partition by stream order by sequence) as run
+  from expected anti join numbered using (stream, sequence))
+select stream, min(sequence) as first, max(sequence) as last from gone group by stream, run""",
     "partials": f"with {FLUSHES} select * from partials",
     "partials_json": f"with {FLUSHES} select * from partials",
     "partials_default": f"with {DEFAULT_FLUSHES} select * from partials",
@@ -227,6 +237,30 @@ select stream, state, max(event_us) as event_us, true as later from valid group
     "stream_rejects": f"""with {VOTES}
 select id, state, event_us, arrival_us, 'unknown_state' as reason
 from votes where state not in (select state from states)""",
+    "stream_bounded": f"""with {VOTES},
+taken as (
+  select *, cast(split_part(id, '-', 2) as bigint) * 2 + stream - {FIRST_STREAM} as place,
+         (select cast(ceil(count(*) / {STEPS}) as bigint) from events) as step
+  from valid)
+select cast(place // step as bigint) as batch_id,
+       cast(sum(case when party = 'D' then 1 else 0 end) as bigint) as Dvotes,
+       cast(sum(case when party <> 'D' then 1 else 0 end) as bigint) as Rvotes
+from taken group by all""",
+    "stream_flushes": f"""with {VOTES},
+taken as (
+  select *, (cast(split_part(id, '-', 2) as bigint) * 2 + stream - {FIRST_STREAM})
+              // (select cast(ceil(count(*) / {FEW_STEPS}) as bigint) from events) as step
+  from valid),
+numbered as (
+  select *, (row_number() over (partition by stream, state
+                                order by step, arrival_us, event_us, party = 'D') - 1)
+              // {WIDE_CAP + 1} as batch
+  from taken)
+select stream, state, cast(sum(case when party = 'D' then 1 else 0 end) as bigint) as Dvotes,
+       cast(sum(case when party <> 'D' then 1 else 0 end) as bigint) as Rvotes,
+       max(event_us) as event_us, count(*) = {WIDE_CAP + 1} as "full"
+from numbered group by stream, state, batch""",
+    "ledger_compacted": _FULL_TOTALS,
     "stream_dedup": _FULL_TOTALS,
     "ledger_rolled": _FULL_TOTALS,
     "stream_winners": _WINNERS,

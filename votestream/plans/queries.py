@@ -23,6 +23,7 @@ from ..operators import (
     map_table,
     materialise,
     merge_partials,
+    missing_ranges,
     national_totals,
     rejected_votes,
     seed_totals,
@@ -31,9 +32,10 @@ from ..operators import (
     votes_by_stream_and_state,
     winners,
 )
-from ..schema import MICROS, TICK_SECONDS, flush_cap
+from ..schema import MICROS, TICK_SECONDS, flush_cap, row_budget
 from ..session import scratch_path
 from ..sources import (
+    bounded_stream_view,
     encode_votes,
     export_latencies,
     parse_votes,
@@ -47,9 +49,11 @@ from ..sources import (
 from ..sources.latencies import run_path
 from ..sources.tables import FIRST_STREAM
 from ..streaming import (
+    read_held,
+    read_latency_log,
+    read_ledger,
     read_report,
     read_totals,
-    read_latency_log,
     roll_up,
     start_counting,
     start_reporting,
@@ -62,6 +66,11 @@ RUN = ["stream"]
 # Votes of every seventh day have no id in the query that drops repetitions.
 NO_ID = 7 * DAY_US
 
+# Micro-batches of the queries that take in so many rows at a time.
+STEPS, FEW_STEPS = 6, 3
+# Counters that hold up to so many votes over several micro-batches.
+WIDE_CAP = 9
+
 # A run's settings, for the query that takes them from a file path.
 NODES, RATE = 2, 30_000
 
@@ -134,7 +143,12 @@ def party_codes(spark, sf_dir):
 
 
 def audit(spark, sf_dir):
-    return ingest_audit(votes_view(spark, sf_dir))
+    return ingest_audit(votes_view(spark, sf_dir), row_budget(RATE, NODES))
+
+
+def missing(spark, sf_dir):
+    """The row numbers of votes that were turned away, found as gaps among the others."""
+    return missing_ranges(valid_votes(votes_view(spark, sf_dir)))
 
 
 def audit_by_state(spark, sf_dir):
@@ -262,19 +276,57 @@ def stream_rejects(spark, sf_dir):
     return rejected.select("id", "state", "event_us", "arrival_us", "reason")
 
 
-def stream_dedup(spark, sf_dir):
-    """Totals of a stream in which every vote comes twice, and old ones come late."""
-    votes = vote_stream_view(spark, sf_dir)
-    twice = votes.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
-    out = scratch_path(spark, "dedup")
-    start_counting(
-        dedup_stream(valid_votes(twice)),
+def _rows_of(spark, sf_dir, parts: int) -> int:
+    """The rows of a micro-batch that takes this part of the votes."""
+    return -(-votes_view(spark, sf_dir).count() // parts)
+
+
+def _in_steps(spark, votes, **more) -> str:
+    """Counts a stream to its end, in as many micro-batches as its source makes of it."""
+    out = scratch_path(spark, "steps")
+    query = start_counting(
+        votes,
         ledger=f"{out}/ledger",
         latencies=f"{out}/latencies",
         checkpoint=f"{out}/checkpoint",
-        available_now=True,
-    ).awaitTermination()
-    return read_totals(spark, f"{out}/ledger")
+        trigger_seconds=0,
+        **{k: f"{out}/{v}" if k == "held" else v for k, v in more.items()},
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return out
+
+
+def stream_bounded(spark, sf_dir):
+    """What each micro-batch counted of a stream that takes in so many rows at a time."""
+    votes = bounded_stream_view(spark, sf_dir, _rows_of(spark, sf_dir, STEPS))
+    ledger = read_ledger(spark, f"{_in_steps(spark, votes)}/ledger")
+    return ledger.groupBy("batch_id").agg(F.sum("Dvotes").alias("Dvotes"), F.sum("Rvotes").alias("Rvotes"))
+
+
+def ledger_compacted(spark, sf_dir):
+    """Totals of a ledger whose old batches have been merged while it was written."""
+    votes = bounded_stream_view(spark, sf_dir, _rows_of(spark, sf_dir, STEPS))
+    return read_totals(spark, f"{_in_steps(spark, votes, compact_every=2)}/ledger")
+
+
+def stream_flushes(spark, sf_dir):
+    """Counts closed by number over several micro-batches, and those still held at the end."""
+    votes = bounded_stream_view(spark, sf_dir, _rows_of(spark, sf_dir, FEW_STEPS))
+    out = _in_steps(spark, votes, cap=WIDE_CAP, held="held", tick_seconds=0)
+    columns = ["stream", "state", "Dvotes", "Rvotes", "event_us"]
+    closed = read_ledger(spark, f"{out}/ledger").select(*columns, F.lit(True).alias("full"))
+    held = read_held(spark, f"{out}/held", FEW_STEPS - 1)
+    return closed.unionByName(held.select(*columns, F.lit(False).alias("full")))
+
+
+def stream_dedup(spark, sf_dir):
+    """Totals of a stream in which every vote comes twice, most of them in different micro-batches."""
+    once, again = (bounded_stream_view(spark, sf_dir, _rows_of(spark, sf_dir, n)) for n in (FEW_STEPS, 2))
+    votes = dedup_stream(valid_votes(once.unionByName(again)))
+    return read_totals(spark, f"{_in_steps(spark, votes, partitions=4)}/ledger")
 
 
 def ledger_rolled(spark, sf_dir):
@@ -309,6 +361,7 @@ QUERIES = {
     "dedup_votes": dedup,
     "ingest_audit": audit,
     "ingest_states": audit_by_state,
+    "missing_ranges": missing,
     "partials": partials,
     "partials_json": partials_json,
     "partials_default": partials_default,
@@ -325,7 +378,10 @@ QUERIES = {
     "stream_totals": stream_totals,
     "stream_latencies": stream_latencies,
     "stream_rejects": stream_rejects,
+    "stream_bounded": stream_bounded,
+    "stream_flushes": stream_flushes,
     "stream_dedup": stream_dedup,
+    "ledger_compacted": ledger_compacted,
     "ledger_rolled": ledger_rolled,
     "stream_winners": stream_winners,
 }

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import micros_of_timestamp, vote_id
 from ..schema import STATES
+from .backlog import read_bounded
 
 # Two codes outside the state list, so that some votes must be turned away.
 CODES = STATES + ("DC", "PR")
@@ -35,6 +36,11 @@ def vote_stream_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _votes_of(spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]"))
 
 
+def bounded_stream_view(spark: SparkSession, sf_dir: str, rows: int) -> DataFrame:
+    """The same votes as a stream that takes in so many rows at a time."""
+    return _votes_of(read_bounded(spark, f"{sf_dir}/events.parquet", rows, EVENTS))
+
+
 def party_flags_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Votes whose party is still a flag, 0 or 1."""
     events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")

@@ -2,7 +2,10 @@
 
 from .jobs import start_counting, start_reporting
 from .ledger import (
+    compact_latencies,
+    compact_ledger,
     last_committed,
+    read_held,
     read_latency_log,
     read_ledger,
     read_report,
@@ -15,7 +18,10 @@ from .ledger import (
 )
 
 __all__ = [
+    "compact_latencies",
+    "compact_ledger",
     "last_committed",
+    "read_held",
     "read_latency_log",
     "read_ledger",
     "read_report",

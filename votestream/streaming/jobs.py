@@ -1,17 +1,29 @@
 """The running jobs: count votes tick by tick, and keep the reports fresh."""
 
+import time
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.counting import count_votes, national_totals, seed_totals
-from ..operators.flushing import flush_partials
+from ..operators.flushing import HELD, carry_flushes, flush_partials
 from ..operators.latency import latency_rows
 from ..operators.reporting import map_table, winners
 from ..operators.validity import classified_votes, valid_votes
-from ..schema import TICK_SECONDS
+from ..schema import PARTIAL, TICK_SECONDS
 from ..sources.states import states_df
-from .ledger import files_for, write_latencies, write_partials, write_rejects, write_report
+from .ledger import (
+    compact_latencies,
+    compact_ledger,
+    files_for,
+    read_held,
+    write_held,
+    write_latencies,
+    write_partials,
+    write_rejects,
+    write_report,
+)
 
 # One micro-batch is one tick, whatever the clock says, when votes are cut by count.
 _ONE_TICK_US = 1 << 62
@@ -21,6 +33,13 @@ _ONE_TICK_US = 1 << 62
 FEW_PARTITIONS = 8
 _PARTITIONS = "spark.sql.shuffle.partitions"
 
+# State that grows is kept on disk.
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+#: Micro-batches between two compactions.
+COMPACT_EVERY = 100
+
 
 def _start(
     writer,
@@ -35,12 +54,14 @@ def _start(
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{tick_seconds} seconds")
-    usual = spark.conf.get(_PARTITIONS)
+    usual, store = spark.conf.get(_PARTITIONS), spark.conf.get(_STORE)
     spark.conf.set(_PARTITIONS, usual if partitions is None else partitions)
+    spark.conf.set(_STORE, _ROCKSDB)
     try:
         return writer.option("checkpointLocation", checkpoint).start()
     finally:
         spark.conf.set(_PARTITIONS, usual)
+        spark.conf.set(_STORE, store)
 
 
 def start_counting(
@@ -54,6 +75,9 @@ def start_counting(
     states: DataFrame | None = None,
     available_now: bool = False,
     partitions: int | None = None,
+    held: str | None = None,
+    trigger_seconds: int | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Count a stream of votes into ``ledger``, one flush per micro-batch.
 
@@ -63,11 +87,28 @@ def start_counting(
     votes have no ``arrival_us``). How long each count took since its newest vote goes to
     ``latencies``, votes that cannot be counted go to ``rejects`` if given.
 
+    With a path ``held`` counters outlive the micro-batch, which may then be shorter than a tick
+    (``trigger_seconds``): a count is closed when it holds ``cap + 1`` votes, over however many
+    micro-batches they came, and with the first micro-batch of a later tick. What counters hold is kept at
+    the path and not yet in ``ledger``. An input that pauses leaves votes held until it goes on.
+
+    Every ``compact_every`` micro-batches the folders of those before are merged.
+
     No watermark is involved: a vote counts however late it is. ``partitions`` of shuffles are
     those of the session unless given; a stream keeps the number it was first started with.
     """
 
+    if held is not None and cap is None:
+        raise ValueError("counters hold votes up to a cap; without one every micro-batch is a tick")
+
     def flush(batch: DataFrame, batch_id: int) -> None:
+        count(batch, batch_id)
+        # The engine has committed all batches before this one.
+        if batch_id and batch_id % compact_every == 0:
+            compact_ledger(batch.sparkSession, ledger, batch_id - 1)
+            compact_latencies(batch.sparkSession, latencies, batch_id - 1)
+
+    def count(batch: DataFrame, batch_id: int) -> None:
         if rejects is None and cap is None:
             write(valid_votes(batch, states), None, batch_id)
             return
@@ -81,7 +122,10 @@ def start_counting(
             told.unpersist()
 
     def write(counted_votes: DataFrame, turned_away, batch_id: int) -> None:
-        counted = _count_tick(counted_votes, cap).persist()
+        if held is None:
+            counted = _count_tick(counted_votes, cap).persist()
+        else:
+            counted = _count_held(counted_votes, cap, held, batch_id, tick_seconds).persist()
         try:
             files = files_for(counted.count())
             # The clock is read after counting, when this next query is planned.
@@ -97,7 +141,7 @@ def start_counting(
         votes.writeStream.foreachBatch(flush),
         votes.sparkSession,
         checkpoint,
-        tick_seconds,
+        tick_seconds if trigger_seconds is None else trigger_seconds,
         available_now,
         partitions=partitions,
     )
@@ -106,9 +150,24 @@ def start_counting(
 def _count_tick(votes: DataFrame, cap: int | None) -> DataFrame:
     if cap is None:
         return count_votes(votes, ["stream", "state"])
-    if "arrival_us" not in votes.columns:
-        votes = votes.withColumn("arrival_us", F.col("event_us"))
-    return flush_partials(votes, _ONE_TICK_US, cap)
+    return flush_partials(_arrived(votes), _ONE_TICK_US, cap)
+
+
+def _arrived(votes: DataFrame) -> DataFrame:
+    if "arrival_us" in votes.columns:
+        return votes
+    return votes.withColumn("arrival_us", F.col("event_us"))
+
+
+def _count_held(votes: DataFrame, cap: int, path: str, batch_id: int, tick_seconds: int) -> DataFrame:
+    """The counts that are closed in this micro-batch; the others are held."""
+    spark = votes.sparkSession
+    before = read_held(spark, path, batch_id - 1)
+    tick = F.lit(int(time.time()) // tick_seconds).cast("bigint") if tick_seconds else F.lit(0).cast("bigint")
+    over = F.col("tick") < tick
+    flushed, rest = carry_flushes(_arrived(votes), before.where(~over).select(*HELD), cap)
+    write_held(rest.select(*HELD, tick.alias("tick")), batch_id, path)
+    return flushed.unionByName(before.where(over).select(*HELD)).select(*PARTIAL.fieldNames())
 
 
 def start_reporting(

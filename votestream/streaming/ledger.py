@@ -4,19 +4,23 @@ Each micro-batch owns one folder, named after its batch id, in each output. The
 stream's checkpoint ties a batch id to its input, so a batch that is run again
 after a failure overwrites its own folder with the same counts. Totals are the
 sum over all folders. Counts and latencies go to separate paths, which may be on
-separate storage.
+separate storage. Old folders are merged while the job runs (``compaction``).
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.counting import merge_partials, seed_totals
+from ..operators.flushing import HELD
 from ..schema import PARTIAL
 from ..sources.states import states_df
+from .compaction import BATCH, compact, compacted_to, read_batches
 
-BATCH = "batch_id"
 ROWS_PER_FILE = 1_000_000
 
 _LEDGER = T.StructType(PARTIAL.fields + [T.StructField(BATCH, T.LongType())])
+_HELD = T.StructType(
+    [T.StructField(c, T.StringType() if c == "state" else T.LongType()) for c in (*HELD, "tick", BATCH)]
+)
 _LATENCIES = T.StructType([
     T.StructField("stream", T.LongType()),
     T.StructField("state", T.StringType()),
@@ -33,6 +37,10 @@ def files_for(rows: int) -> int:
 
 
 def _write_batch(df: DataFrame, batch_id: int, path: str, files: int | None = None) -> None:
+    if 0 <= batch_id <= compacted_to(df.sparkSession, path):
+        raise ValueError(
+            f"batch {batch_id} of {path} has been merged; a new checkpoint needs a new ledger"
+        )
     if files is not None:
         df = df.coalesce(files)
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
@@ -57,11 +65,30 @@ def write_rejects(rejects: DataFrame, batch_id: int, path: str) -> None:
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Every partial count written so far, with its batch id."""
-    return spark.read.schema(_LEDGER).parquet(path)
+    return read_batches(spark, path, _LEDGER)
 
 
 def read_latency_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_LATENCIES).parquet(path)
+    return read_batches(spark, path, _LATENCIES)
+
+
+def compact_ledger(spark: SparkSession, path: str, upto: int) -> None:
+    """Merges the counts of all batches up to ``upto``, which must be committed, into one a counter."""
+
+    def merge(rows: DataFrame, last: int) -> DataFrame:
+        merged = merge_partials(rows, ["stream", "state"])
+        return merged.withColumn(BATCH, F.lit(last).cast("bigint")).select(*_LEDGER.fieldNames()).coalesce(1)
+
+    compact(spark, path, upto, _LEDGER, merge, whole=True)
+
+
+def compact_latencies(spark: SparkSession, path: str, upto: int) -> None:
+    """Puts the latencies of batches up to ``upto`` into few files; every row is kept as it is."""
+
+    def merge(rows: DataFrame, last: int) -> DataFrame:
+        return rows.coalesce(files_for(rows.count()))
+
+    compact(spark, path, upto, _LATENCIES, merge, whole=False)
 
 
 def read_totals(spark: SparkSession, path: str, states: DataFrame | None = None) -> DataFrame:
@@ -105,6 +132,24 @@ def roll_up(
         write_latencies(log, -1, latency_target, files_for(log.count()))
 
 
+# --- counters that hold votes ------------------------------------------------
+# A counter holds its votes from one micro-batch to the next. Two folders take turns: a batch reads
+# what the one before it has left, and when it is run again that is still there.
+
+
+def write_held(held: DataFrame, batch_id: int, path: str) -> None:
+    rows = held.withColumn(BATCH, F.lit(batch_id).cast("bigint")).coalesce(1)
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/slot={batch_id % 2}")
+
+
+def read_held(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """What the counters hold after a batch; nothing after -1, the beginning."""
+    if batch_id < 0:
+        return spark.createDataFrame([], _HELD)
+    rows = spark.read.schema(_HELD).parquet(f"{path.rstrip('/')}/slot={batch_id % 2}")
+    return rows.where(F.col(BATCH) == batch_id)
+
+
 # --- reports -----------------------------------------------------------------
 # Only the newest report matters. Two folders take turns, so that the newest
 # complete one stays in place while the next is written. A report has at most a row
