@@ -21,6 +21,8 @@ BUCKET = 32_768
 #: Parts that ids of another form, and votes without one, are dealt out to.
 SPREAD = 1_024
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Workers need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -84,8 +86,9 @@ class _Unseen(StatefulProcessor):
 
     def _unnumbered(self, rows):
         for chunk in rows:
-            fresh = chunk["id"].isna() | ~chunk["id"].duplicated()
-            for i in chunk.index[fresh & chunk["id"].notna()]:
+            none = chunk["id"] == ""
+            fresh = none | ~chunk["id"].duplicated()
+            for i in chunk.index[fresh & ~none]:
                 if self.others.containsKey((chunk.at[i, "id"],)):
                     fresh[i] = False
                 else:
@@ -100,8 +103,8 @@ def dedup_stream(votes: DataFrame) -> DataFrame:
     """Streaming twin: passes on the first delivery of each id, however late it comes.
 
     No vote is lost, so every id is remembered for as long as the stream runs, in a bit: the row numbers
-    of a stream are kept in buckets of ``BUCKET``, each of at most 4 KiB. ``start_counting`` keeps
-    this state in RocksDB, on the disks of the executors. Ids that are not a stream's number, a dash and
+    of a stream are kept in buckets of ``BUCKET``, each of at most 4 KiB. This state needs RocksDB, on the
+    disks of the executors, so the session is set to it for streams started from here on. Ids that are not a stream's number, a dash and
     a row number, written without leading zeros, are remembered as they are. Votes without an id
     are all passed on.
 
@@ -109,14 +112,15 @@ def dedup_stream(votes: DataFrame) -> DataFrame:
     """
     if "malformed" in votes.columns:
         raise ValueError("dedup_stream takes valid votes; apply valid_votes first")
+    votes.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     known = F.coalesce(vote_id(stream_of("id"), sequence_of("id")) == F.col("id"), F.lit(False))
     sequence = F.when(known, sequence_of("id"))
     spread = F.pmod(F.xxhash64("id", "event_us"), F.lit(SPREAD))  # without an id, the time decides
     bucket = F.when(known, F.call_function("div", sequence, F.lit(BUCKET)))
-    # Names that begin with an underscore do not reach the processor. Votes pass through pandas,
-    # where only text stays what it is when some are NULL.
+    # Names that begin with an underscore do not reach the processor. Votes pass through pandas as
+    # text behind a mark, and NULL as nothing: other kinds do not stay what they are there.
     placed = votes.select(
-        *[F.col(c).cast("string").alias(c) for c in votes.columns],
+        *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias(c) for c in votes.columns],
         F.when(known, stream_of("id")).alias("of_stream"),
         F.coalesce(bucket, F.when(F.col("id").isNull(), spread), F.pmod(F.xxhash64("id"), F.lit(SPREAD))).alias("of_bucket"),
         F.coalesce(sequence % BUCKET, F.lit(-1)).alias("of_place"),
@@ -125,4 +129,5 @@ def dedup_stream(votes: DataFrame) -> DataFrame:
     once = placed.groupBy("of_stream", "of_bucket").transformWithStateInPandas(
         statefulProcessor=_Unseen(), outputStructType=text, outputMode="append", timeMode="none"
     )
-    return once.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in votes.schema.fields])
+    back = lambda f: F.when(F.col(f.name) != "", F.expr(f"substring(`{f.name}`, 2)")).cast(f.dataType)
+    return once.select(*[back(f).alias(f.name) for f in votes.schema.fields])
