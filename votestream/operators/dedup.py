@@ -67,7 +67,7 @@ class _Unseen(StatefulProcessor):
         self.others = handle.getMapState("others", "id string", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        own = self._unnumbered(rows) if key[0] is None else self._numbered(rows)
+        own = self._unnumbered(rows) if pd.isna(key[0]) else self._numbered(rows)
         for chunk in own:
             if len(chunk):
                 yield chunk.drop(columns=["of_stream", "of_bucket", "of_place"])
