@@ -49,6 +49,7 @@ from ..sources import (
 from ..sources.latencies import run_path
 from ..sources.tables import FIRST_STREAM
 from ..streaming import (
+    last_committed,
     read_held,
     read_latency_log,
     read_ledger,
@@ -318,7 +319,7 @@ def stream_flushes(spark, sf_dir):
     out = _in_steps(spark, votes, cap=WIDE_CAP, held="held", tick_seconds=0)
     columns = ["stream", "state", "Dvotes", "Rvotes", "event_us"]
     closed = read_ledger(spark, f"{out}/ledger").select(*columns, F.lit(True).alias("full"))
-    held = read_held(spark, f"{out}/held", FEW_STEPS - 1)
+    held = read_held(spark, f"{out}/held", last_committed(spark, f"{out}/checkpoint"))
     return closed.unionByName(held.select(*columns, F.lit(False).alias("full")))
 
 
