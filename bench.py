@@ -42,6 +42,7 @@ HEADLINE = (
     "party_codes",
     "ingest_audit",
     "ingest_states",
+    "missing_ranges",
     "partials",
     "partials_json",
     "partials_default",
@@ -58,6 +59,9 @@ HEADLINE = (
     "stream_totals",
     "stream_latencies",
     "stream_rejects",
+    "stream_bounded",
+    "stream_flushes",
+    "ledger_compacted",
     "stream_dedup",
     "stream_winners",
     "ledger_rolled",
