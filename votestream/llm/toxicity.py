@@ -8,7 +8,8 @@ counts with the largest weight of its entries, and not at all if it lies in an e
 phrase. The sum of weights, alone and by the length of the text, gives the score.
 
 Entries, weights and the scale of the score are learned from labelled documents, at most
-``TRAIN_ROWS`` of them. Only the text and the label are used.
+``TRAIN_ROWS`` of them. Only the text and the label are used. Every term that is frequent and telling
+enough is kept; how many there can be is bounded by the rows they are learned from.
 """
 
 import re
@@ -26,7 +27,6 @@ from .shipping import in_arrow, ship
 
 #: Labelled documents to learn from: those with the smallest hashes of their ids.
 TRAIN_ROWS = 20_000
-LEXICON_TERMS = 5_000
 #: An entry must be in so many toxic documents, and this much more often than in others (log).
 LEAST_DOCUMENTS = 5
 LEAST_WEIGHT = 2.5
@@ -167,7 +167,6 @@ def learn(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Le
     best = (
         _counts(train, _terms).where(F.col("toxic") >= LEAST_DOCUMENTS)
         .withColumn("weight", often).where(F.col("weight") >= LEAST_WEIGHT)
-        .orderBy(F.desc("weight"), "term").limit(LEXICON_TERMS)
     )
     weights = {row.term: row.weight for row in best.select("term", "weight").collect()}
     plain = Lexicon(weights)
@@ -178,11 +177,8 @@ def learn(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Le
         return {" ".join(words[a:b]) for i in hit for a, b in ((i - 1, i + 1), (i, i + 2))
                 if a >= 0 and b <= len(words)}
 
-    spared = (
-        _counts(train, phrases).where((F.col("toxic") == 0) & (F.col("other") >= LEAST_EXCEPTION))
-        .orderBy(F.desc("other"), "term").limit(LEXICON_TERMS)
-    )
-    lexicon = Lexicon(weights, tuple(row.term for row in spared.select("term").collect()))
+    spared = _counts(train, phrases).where((F.col("toxic") == 0) & (F.col("other") >= LEAST_EXCEPTION))
+    lexicon = Lexicon(weights, tuple(sorted(row.term for row in spared.select("term").collect())))
     return Lexicon(weights, lexicon.exceptions, _scale(train, lexicon))
 
 
