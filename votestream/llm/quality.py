@@ -5,8 +5,10 @@ Statistics of a text (its words are ``[^\x20\x09-\x0D]+``) are turned into a vec
 covariance of the central ``SHARE`` of vectors are estimated: the minimum covariance
 determinant, by concentration steps from a start of medians and median deviations. Each step
 keeps the share with the smallest distances and estimates anew from it, which never
-makes the determinant larger. A vector is rejected if its squared Mahalanobis distance
-exceeds ``LIMIT``.
+makes the determinant larger but by rounding of the share. A group takes steps as long as they lower the logarithm of its
+determinant by ``SETTLED``; since the floors below bound it, that ends. The fit with the smallest determinant counts.
+A vector is rejected if its squared Mahalanobis distance exceeds ``LIMIT``, which a normal
+vector does with a chance of ``CHANCE``.
 
 Most documents have no symbols or repeated lines at all. So each variance has a floor
 (``FLOORS``) added to it: a deviation of a few floors is of no consequence, however little
@@ -18,6 +20,8 @@ All of it is column expressions; a group's figures are sums and sketches that ar
 before any shuffle.
 """
 
+from math import exp
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators import attach, materialise
@@ -26,8 +30,8 @@ from ..session import scratch_path
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SHARE = 0.75
-STEPS = 3
-LIMIT = 30.0
+SETTLED = 0.01
+CHANCE = 4e-5
 LEAST_GROUP = 100
 
 #: Names of the vector's parts and the standard deviation that is added to each.
@@ -41,9 +45,30 @@ FLOORS = {
 }
 VECTOR = list(FLOORS)
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-# The mean squared distance within the central share of normal vectors of six dimensions is
-# smaller than over all of them by this factor.
-_CONSISTENCY = 1.36
+
+
+def _beyond(x: float, dimensions: int) -> float:
+    """The chance that a chi-square value of an even number of dimensions exceeds ``x``."""
+    term = total = exp(-x / 2)
+    for k in range(1, dimensions // 2):
+        term *= x / (2 * k)
+        total += term
+    return total
+
+
+def _quantile(chance: float, dimensions: int) -> float:
+    """The value that is exceeded with ``chance``."""
+    low, high = 0.0, 1000.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if _beyond(middle, dimensions) > chance else (low, middle)
+    return high
+
+
+LIMIT = _quantile(CHANCE, len(VECTOR))
+# The mean squared distance within the central share of normal vectors is smaller than over all of them
+# by this factor.
+_CONSISTENCY = SHARE / (1 - _beyond(_quantile(1 - SHARE, len(VECTOR)), len(VECTOR) + 2))
 
 _SPACE = r"[ \t\n\x0B\f\r]+"
 _GROUP = ["judged_lang", "judged_source"]
@@ -158,6 +183,11 @@ def _moments(rows: DataFrame) -> DataFrame:
     return materialise(out.select(*_GROUP, F.struct(*kept).alias("fit")))
 
 
+def _spread(fit: str) -> Column:
+    """The logarithm of the determinant of the covariance."""
+    return 2 * sum((F.log(F.col(f"{fit}.l{i}{i}")) for i in range(1, len(VECTOR))), F.log(F.col(f"{fit}.l00")))
+
+
 def _start(rows: DataFrame) -> DataFrame:
     """The first estimate: medians and median deviations, taken as independent."""
     d = len(VECTOR)
@@ -198,11 +228,24 @@ def estimates(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = _groups(vectors)
     rows = materialise(attach(vectors.select("lang", "source", "vector"), groups, ["lang", "source"])
                        .select(*_GROUP, "vector"))
-    fit = _start(rows)
-    for _ in range(STEPS):
-        measured = attach(rows, fit, _GROUP).select(*_GROUP, "vector", distance().alias("d"))
+    fit, best, moving = _start(rows), None, rows
+    while True:
+        measured = attach(moving, fit, _GROUP).select(*_GROUP, "vector", distance().alias("d"))
         cut = measured.groupBy(*_GROUP).agg(F.percentile_approx("d", SHARE, 1000).alias("cut"))
         fit = _moments(attach(measured, materialise(cut), _GROUP).where("d <= cut"))
+        if best is None:
+            best = fit
+            continue
+        both = fit.join(best.withColumnRenamed("fit", "old"), _GROUP, "right")
+        fell = F.coalesce(_spread("fit") <= _spread("old") - SETTLED, F.lit(False))
+        better = F.coalesce(_spread("fit") < _spread("old"), F.lit(False))
+        both = materialise(both.select(
+            *_GROUP, F.when(better, F.col("fit")).otherwise(F.col("old")).alias("fit"), fell.alias("fell")))
+        best, fit = both.drop("fell"), both.where("fell").drop("fell")
+        if fit.isEmpty():
+            break
+        moving = moving.join(fit.select(*_GROUP), _GROUP, "left_semi")
+    fit = best
     sizes = rows.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_GROUP)
     return groups, materialise(fit.join(sizes.select(*_GROUP), _GROUP))
 
