@@ -50,7 +50,6 @@ def pairs(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
 
-@slow
 def test_passages(odd, none):
     found = near_duplicate_passages(odd)
     assert pairs(found, "doc_id", "other_id") == [(2, 1), (7, 1)]
@@ -59,7 +58,6 @@ def test_passages(odd, none):
     assert near_duplicate_passages(none).count() == 0
 
 
-@slow
 def test_passages_of_unlike_texts_under_one_common_line(documents):
     """The first text has only the line; the others still find each other."""
     line = " ".join(f"common{i}" for i in range(30))
