@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from votestream.operators import attach, materialise, ordered
+from votestream.operators import attach, joining, materialise, ordered
 from votestream.operators.joining import leave_out
 
 from rows import tuples
@@ -51,9 +51,12 @@ def test_a_hot_key_is_joined_in_many_tasks(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = attach(hot_rows(spark), facts(spark), ["key"], broadcast_rows=0)
-        assert "BroadcastHashJoin" not in plan(joined)
+        usual = attach(hot_rows(spark), facts(spark), ["key"], broadcast_rows=0)
+        assert "BroadcastHashJoin" not in plan(usual)
+        assert partitions_with(usual, "key = 1") == 1
+        joined = attach(hot_rows(spark), facts(spark), ["key"], broadcast_rows=0, hot_rows=50)
         assert partitions_with(joined, "key = 1") > 1
+        assert tuples(joined, "*") == tuples(usual, "*")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -77,3 +80,33 @@ def test_materialised_rows_are_read_from_the_shared_folder(spark):
     assert "Scan ExistingRDD" in plan(kept) and "Aggregate" not in plan(kept)
     assert spark.sparkContext.getCheckpointDir() is not None
     assert kept.count() == hot_rows(spark).select("key").distinct().count()
+
+
+def test_only_hot_facts_are_copied(spark):
+    """Facts of 2,000 cold keys are read once; the hot key's are, once per salt."""
+    sized = spark.range(2000).select("id", F.when(F.col("id") == 7, 1000).otherwise(1).alias("n"), F.lit("x").alias("name"))
+    rows = spark.range(2999).select(F.when(F.col("id") < 2000, F.col("id")).otherwise(7).alias("id"))
+    joined = attach(rows, sized, ["id"], broadcast_rows=0, sizes="n", hot_rows=100)
+    assert joined.columns == ["id", "name"] and joined.count() == 2999
+    assert joined.where("id = 7").count() == 1000
+    hot = joining._hot_keys(rows, sized, ["id"], "n", 100).collect()
+    assert [tuple(r) for r in hot] == [(7, 10)]
+    assert joining._hot_keys(rows, sized, ["id"], "n", 1000) is None
+    counted = joining._hot_keys(rows, sized.drop("n"), ["id"], None, 100).collect()
+    assert [tuple(r) for r in counted] == [(7, 10)]
+
+
+def test_hot_keys_are_bounded(spark, monkeypatch):
+    """Where very many keys are large, only the largest are salted."""
+    monkeypatch.setattr(joining, "HOT_KEYS", 4)
+    sized = spark.range(100).select("id", F.when(F.col("id") < 2, 500).otherwise(20).alias("n"))
+    hot = joining._hot_keys(None, sized, ["id"], "n", 10).collect()
+    assert len(hot) <= 4
+    sized = sized.withColumn("n", F.when(F.col("id") < 2, 5000).otherwise(F.col("n")))
+    assert sorted(tuple(r) for r in joining._hot_keys(None, sized, ["id"], "n", 10).collect()) == [(0, 2), (1, 2)]
+
+
+def test_leave_out_of_hot_keys(spark):
+    rows = hot_rows(spark)
+    few = leave_out(rows, facts(spark), ["key"])
+    assert tuples(few, "*") == tuples(leave_out(rows, facts(spark), ["key"], 0, hot_rows=50), "*")

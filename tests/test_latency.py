@@ -82,16 +82,45 @@ def test_summary_of_micros(spark, join_way):
         assert [row.p90, row.p95, row.p99] == list(wanted)
 
 
-@pytest.mark.parametrize("width", [0.001, 0.05, 10.0])
-def test_quantiles_do_not_depend_on_buckets(spark, width):
+@pytest.mark.parametrize("buckets", [3, 64, 4096])
+@pytest.mark.parametrize("sort_values", [0, 20])
+def test_quantiles_do_not_depend_on_buckets(spark, buckets, sort_values):
     runs = logs(2)
     wanted = (0.0, 0.25, 0.5, 0.999, 1.0)
+    if buckets == 3:
+        runs["a"] = tuple(x[:40] for x in runs["a"])
     for row in exact_quantiles(
-        second_rows(spark, runs), ["run"], "latency", width, wanted, sort_values=0
+        second_rows(spark, runs), ["run"], "latency", wanted, sort_values=sort_values, buckets=buckets
     ).collect():
         assert row.quantiles == list(np.quantile(runs[row.run][1], wanted))
 
 
+def test_quantiles_of_a_run_that_spans_years(spark):
+    """Microseconds over 30 years, most of them within a second, and the ends of the type."""
+    rng = np.random.default_rng(5)
+    near = 10**15 + rng.integers(0, 10**6, 3000)
+    far = rng.integers(0, 10**15, 200)
+    values = np.concatenate([near, far, [-(2**63), 2**63 - 1]]).tolist()
+    table = spark.createDataFrame([("a", int(v)) for v in values], "run string, latency bigint")
+    wanted = (0.0, 0.1, 0.5, 0.9, 1.0)
+    found = exact_quantiles(table, ["run"], "latency", wanted, sort_values=50).first().quantiles
+    ordered = sorted(values)
+    for p, q in zip(wanted, found):
+        at = p * (len(ordered) - 1)
+        low, high = float(ordered[int(at)]), float(ordered[min(int(at) + 1, len(ordered) - 1)])
+        assert low <= q <= high
+
+
+def test_quantiles_of_numbers_of_every_size(spark):
+    inf = float("inf")
+    values = [-inf, -1e308, -1e-310, 0.0, 5e-324, 1e-300, 1e-10, 1.0, 2.0, 3.0, 1e308, 1.5e308, inf, float("nan")]
+    table = spark.createDataFrame([("a", v) for v in values], "run string, latency double")
+    for buckets in (3, 1000):
+        found = exact_quantiles(table, ["run"], "latency", [0.0, 3 / 13, 1.0], sort_values=1, buckets=buckets).first()
+        assert found.quantiles[0] == -inf and found.quantiles[1] == pytest.approx(0.0)
+        assert np.isnan(found.quantiles[2])
+
+
 def test_sketched_quantiles(spark):
     runs = logs(3)
     sketched = latency_summary(second_rows(spark, runs), ["run"], approximate=True)

@@ -131,15 +131,16 @@ def _cut(arrived, groups, size, tick_us, sort_rows, broadcast_rows, carried=Fals
         # Most groups are cut: sort all that can be, without looking up which.
         huge = groups.where(F.col("votes") > sort_rows)
         whole = huge.where("not cut").select(*_PIECE)
-        sortable = leave_out(arrived, huge.select(*GROUP), GROUP, broadcast_rows)
+        sortable = leave_out(arrived, huge, GROUP, broadcast_rows, "votes")
         if carried:
-            sortable = attach(sortable, groups.select(*GROUP, "start"), GROUP, broadcast_rows)
+            facts = groups.where(F.col("votes") <= sort_rows).select(*GROUP, "start", "votes")
+            sortable = attach(sortable, facts, GROUP, broadcast_rows, sizes="votes")
         else:
             sortable = sortable.withColumn("start", F.lit(0).cast("bigint"))
         whole = whole.unionByName(_sort_and_cut(sortable, GROUP, size))
     elif small:
-        facts = groups.where(F.col("cut") & (F.col("votes") <= sort_rows)).select(*GROUP, "start")
-        sortable = attach(arrived, facts, GROUP, broadcast_rows, small)
+        facts = groups.where(F.col("cut") & (F.col("votes") <= sort_rows)).select(*GROUP, "start", "votes")
+        sortable = attach(arrived, facts, GROUP, broadcast_rows, small, "votes")
         whole = whole.unionByName(_sort_and_cut(sortable, GROUP, size))
 
     pieces, keys, nodes = [], GROUP, groups
@@ -149,8 +150,8 @@ def _cut(arrived, groups, size, tick_us, sort_rows, broadcast_rows, carried=Fals
     for division in (["slice"], ["arrival_us"], ["event_slice"], ["event_us", "democrat"]):
         if not large:
             return whole, pieces
-        facts = nodes.where(F.col("cut") & (F.col("votes") > sort_rows)).select(*keys, "start")
-        remaining = attach(remaining, facts, keys, broadcast_rows, large)
+        facts = nodes.where(F.col("cut") & (F.col("votes") > sort_rows)).select(*keys, "start", "votes")
+        remaining = attach(remaining, facts, keys, broadcast_rows, large, "votes")
         before = (
             Window.partitionBy(*keys)
             .orderBy(*division)
@@ -165,8 +166,8 @@ def _cut(arrived, groups, size, tick_us, sort_rows, broadcast_rows, carried=Fals
             break
         small, large = _cut_sizes(nodes, sort_rows)
         if small:
-            facts = nodes.where(F.col("cut") & (F.col("votes") <= sort_rows)).select(*keys, "start")
-            sortable = attach(remaining, facts, keys, broadcast_rows, small)
+            facts = nodes.where(F.col("cut") & (F.col("votes") <= sort_rows)).select(*keys, "start", "votes")
+            sortable = attach(remaining, facts, keys, broadcast_rows, small, "votes")
             pieces.append(_sort_and_cut(sortable, keys, size))
     pieces.append(_spread_equal_votes(nodes.where("cut"), size))
     return whole, pieces

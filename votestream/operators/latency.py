@@ -15,10 +15,6 @@ from ..schema import HISTOGRAM_BINS, MICROS, QUANTILES, WARMUP_FRACTION
 from .joining import attach, materialise, ordered
 from .quantiles import exact_quantiles
 
-# Buckets of 2^16 microseconds: at most that many distinct values each, and a
-# day of latencies is about a million buckets.
-_BUCKET_US = 1 << 16
-
 
 @dataclass(frozen=True)
 class _Shape:
@@ -73,9 +69,10 @@ def relative_time(latencies: DataFrame, keys: list[str]) -> DataFrame:
     runs = latencies.groupBy(*keys).agg(
         F.min(shape.time).alias("run_start"),
         (F.max(shape.time) - F.min(shape.time)).alias("duration"),
+        F.count(F.lit(1)).alias("_rows"),
     )
     return (
-        attach(latencies, materialise(runs), keys)
+        attach(latencies, materialise(runs), keys, sizes="_rows")
         .withColumn("since_start", F.col(shape.time) - F.col("run_start"))
         .drop("run_start")
     )
@@ -123,9 +120,8 @@ def latency_summary(
             *figures, sketched.alias("quantiles")
         )
     else:
-        width = _BUCKET_US / MICROS * shape.per_second
         figures = _figures(shape, F.col("times"))
-        summary = exact_quantiles(latencies, keys, shape.latency, width, probabilities, figures)
+        summary = exact_quantiles(latencies, keys, shape.latency, probabilities, figures)
     named = [
         shape.seconds(F.col("quantiles")[i].cast("double")).alias(quantile_name(p))
         for i, p in enumerate(probabilities)
@@ -175,13 +171,14 @@ def latency_histogram(
         .agg(
             F.min(shape.latency).cast("double").alias("least"),
             F.max(shape.latency).cast("double").alias("greatest"),
+            F.count(F.lit(1)).alias("_rows"),
         )
-        .select(*keys, (least - margin).alias("least"), (greatest + margin).alias("greatest"))
+        .select(*keys, (least - margin).alias("least"), (greatest + margin).alias("greatest"), "_rows")
     )
     value = F.col(shape.latency).cast("double")
     bucket = F.width_bucket(value, least, greatest, F.lit(bins))
     binned = (
-        attach(latencies, runs, keys)
+        attach(latencies, runs, keys, sizes="_rows")
         .select(*keys, F.least(bucket, F.lit(bins)).cast("int").alias("bin"))
         .groupBy(*keys, "bin")
         .agg(F.count(F.lit(1)).alias("frequency"))
