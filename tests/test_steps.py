@@ -1,14 +1,19 @@
 """Row-bounded input, counters and memories that outlive a micro-batch, merged ledgers."""
 
 import random
+from bisect import bisect
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
-from votestream.operators import carry_flushes, count_votes, dedup_stream, ingest_audit, missing_ranges, valid_votes
+from votestream.operators import (
+    carry_flushes, count_votes, dedup_stream, ingest_audit, latency_summary, missing_ranges, valid_votes,
+)
 from votestream.operators.dedup import BUCKET, pack, unpack
 from votestream.operators.flushing import HELD
 from votestream.schema import STATES
@@ -266,3 +271,37 @@ def test_a_crash_counts_nothing_twice(spark, partials, tmp_path, monkeypatch):
     assert totals(spark, path) == {"CA": (6, 6), "NY": (6, 0)}
     compact_ledger(spark, path, 4)  # nothing new
     assert segments(spark, path) == [Segment(0, 4, 0)]
+
+
+def test_sketches_of_many_batches(spark, tmp_path):
+    """Merged while they are written, run again, and compared with the ranks of all values."""
+    path, every = str(tmp_path / "sketches"), []
+    for n in range(9):
+        first = spark.range(n * 3000, n * 3000 + 3000)
+        rows = first.select((F.col("id") % 2).alias("stream"), (F.xxhash64("id") % 1_000_000).alias("latency_us"))
+        for _ in range(2 if n % 3 == 0 else 1):  # a batch that is run again counts once
+            ledger.write_sketches(rows, n, path, 400)
+        if n and n % 4 == 0:
+            ledger.compact_sketches(spark, path, n - 1)
+        every.append(rows)
+    every = reduce(lambda a, b: a.unionByName(b), every)
+    wanted = (0.0, 0.1, 0.5, 0.9, 0.99, 1.0)
+    found = {r.stream: r for r in ledger.live_summary(ledger.read_sketches(spark, path), wanted).collect()}
+    exact = {r.stream: r for r in latency_summary(every, ["stream"], wanted).collect()}
+    values = {s: sorted(r.latency_us / 1e6 for r in every.where(F.col("stream") == s).collect()) for s in (0, 1)}
+    assert set(found) == {0, 1}
+    for s, row in found.items():
+        for c in ("samples", "avg_latency", "min_latency", "max_latency"):
+            assert row[c] == exact[s][c]
+        for p, c in zip(wanted, ("p0", "p10", "p50", "p90", "p99", "p100")):
+            assert abs(bisect(values[s], row[c]) / len(values[s]) - p) <= 0.02
+    assert segments(spark, path) and ledger.read_sketches(spark, path).count() == 2
+
+
+def test_sketches_of_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "stream bigint, latency_us bigint")
+    ledger.write_sketches(none, 0, str(tmp_path), 400)
+    assert ledger.live_summary(ledger.read_sketches(spark, str(tmp_path))).count() == 0
+    ledger.write_sketches(spark.createDataFrame([(None, 5), (1, None)], none.schema), 1, str(tmp_path), 400)
+    rows = ledger.live_summary(ledger.read_sketches(spark, str(tmp_path))).collect()
+    assert [(r.stream, r.samples, r.p90) for r in rows] == [(None, 1, 5e-6)]

@@ -4,10 +4,13 @@ Queries over flushes use a tick of a day and a cap of two votes. The tables span
 a month with few votes per state, so that both kinds of flush occur.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import encode_party, seconds_of_micros
 from ..operators import (
+    attach,
     by_run,
     count_votes,
     dedup_stream,
@@ -32,7 +35,8 @@ from ..operators import (
     votes_by_stream_and_state,
     winners,
 )
-from ..schema import MICROS, TICK_SECONDS, flush_cap, row_budget
+from ..operators.latency import quantile_name
+from ..schema import MICROS, QUANTILES, TICK_SECONDS, flush_cap, row_budget
 from ..session import scratch_path
 from ..sources import (
     bounded_stream_view,
@@ -50,10 +54,12 @@ from ..sources.latencies import run_path
 from ..sources.tables import FIRST_STREAM
 from ..streaming import (
     last_committed,
+    live_summary,
     read_held,
     read_latency_log,
     read_ledger,
     read_report,
+    read_sketches,
     read_totals,
     roll_up,
     start_counting,
@@ -71,6 +77,8 @@ NO_ID = 7 * DAY_US
 STEPS, FEW_STEPS = 6, 3
 # Counters that hold up to so many votes over several micro-batches.
 WIDE_CAP = 9
+# How far the rank of a quantile from sketches may be off.
+SKETCH_ERROR = 0.02
 
 # A run's settings, for the query that takes them from a file path.
 NODES, RATE = 2, 30_000
@@ -291,7 +299,7 @@ def _in_steps(spark, votes, **more) -> str:
         latencies=f"{out}/latencies",
         checkpoint=f"{out}/checkpoint",
         trigger_seconds=0,
-        **{k: f"{out}/{v}" if k == "held" else v for k, v in more.items()},
+        **{k: f"{out}/{v}" if k in ("held", "sketches") else v for k, v in more.items()},
     )
     try:
         query.processAllAvailable()
@@ -313,6 +321,28 @@ def ledger_compacted(spark, sf_dir):
     return read_totals(spark, f"{_in_steps(spark, votes, compact_every=2)}/ledger")
 
 
+def stream_quantiles(spark, sf_dir):
+    """Whether the report from sketches, merged while they are written, agrees with the log it does not read."""
+    votes = bounded_stream_view(spark, sf_dir, _rows_of(spark, sf_dir, STEPS))
+    out = _in_steps(spark, votes, compact_every=2, sketches="sketches")
+    log = read_latency_log(spark, f"{out}/latencies")
+    exact = latency_summary(log, RUN).select(
+        "stream", *[F.col(c).alias(f"_{c}") for c in ("samples", "avg_latency", "min_latency", "max_latency")])
+    live = live_summary(read_sketches(spark, f"{out}/sketches"))
+    both = attach(live, materialise(exact), RUN)
+    ranks = {}
+    for p in QUANTILES:
+        own, found = seconds_of_micros("latency_us"), F.col(quantile_name(p))
+        below, upto = F.count_if(own < found) / F.col("samples"), F.count_if(own <= found) / F.col("samples")
+        ranks[p] = ((below <= p + SKETCH_ERROR) & (upto >= p - SKETCH_ERROR)).alias(f"{quantile_name(p)}_close")
+    figures = ["samples", "avg_latency", "min_latency", "max_latency"]
+    agree = reduce(lambda a, b: a & b, (F.col(c) == F.col(f"_{c}") for c in figures)).alias("figures_agree")
+    told = materialise(both.select("stream", "samples", agree, *map(quantile_name, QUANTILES)))
+    rows = attach(log.select("stream", "latency_us"), told, RUN)
+    return rows.groupBy("stream", "samples", "figures_agree", *map(quantile_name, QUANTILES)).agg(
+        *ranks.values()).drop(*map(quantile_name, QUANTILES))
+
+
 def stream_flushes(spark, sf_dir):
     """Counts closed by number over several micro-batches, and those still held at the end."""
     votes = bounded_stream_view(spark, sf_dir, _rows_of(spark, sf_dir, FEW_STEPS))
@@ -381,6 +411,7 @@ QUERIES = {
     "stream_rejects": stream_rejects,
     "stream_bounded": stream_bounded,
     "stream_flushes": stream_flushes,
+    "stream_quantiles": stream_quantiles,
     "stream_dedup": stream_dedup,
     "ledger_compacted": ledger_compacted,
     "ledger_rolled": ledger_rolled,

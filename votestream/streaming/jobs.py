@@ -16,6 +16,7 @@ from ..sources.states import states_df
 from .ledger import (
     compact_latencies,
     compact_ledger,
+    compact_sketches,
     files_for,
     read_held,
     write_held,
@@ -23,6 +24,7 @@ from .ledger import (
     write_partials,
     write_rejects,
     write_report,
+    write_sketches,
 )
 
 # One micro-batch is one tick, whatever the clock says, when votes are cut by count.
@@ -35,6 +37,8 @@ _PARTITIONS = "spark.sql.shuffle.partitions"
 
 #: Micro-batches between two compactions.
 COMPACT_EVERY = 100
+#: The k of quantile sketches: a rank is off by 0.87% at most, 99 times of 100.
+SKETCH_SIZE = 400
 
 
 def _start(
@@ -72,6 +76,8 @@ def start_counting(
     held: str | None = None,
     trigger_seconds: int | None = None,
     compact_every: int = COMPACT_EVERY,
+    sketches: str | None = None,
+    sketch_size: int = SKETCH_SIZE,
 ) -> StreamingQuery:
     """Count a stream of votes into ``ledger``, one flush per micro-batch.
 
@@ -86,6 +92,9 @@ def start_counting(
     micro-batches they came, and with the first micro-batch of a later tick. What counters hold is kept at
     the path and not yet in ``ledger``. An input that pauses leaves votes held until it goes on.
 
+    With a path ``sketches`` each micro-batch also leaves a quantile sketch of its latencies per stream there, which
+    ``live_summary`` reports from, however long the log is.
+
     Every ``compact_every`` micro-batches the folders of those before are merged.
 
     No watermark is involved: a vote counts however late it is. ``partitions`` of shuffles are
@@ -101,6 +110,8 @@ def start_counting(
         if batch_id and batch_id % compact_every == 0:
             compact_ledger(batch.sparkSession, ledger, batch_id - 1)
             compact_latencies(batch.sparkSession, latencies, batch_id - 1)
+            if sketches is not None:
+                compact_sketches(batch.sparkSession, sketches, batch_id - 1)
 
     def count(batch: DataFrame, batch_id: int) -> None:
         if rejects is None and cap is None:
@@ -124,13 +135,24 @@ def start_counting(
             files = files_for(counted.count())
             # The clock is read after counting, when this next query is planned.
             arrived = counted.withColumn("time_us", F.unix_micros(F.current_timestamp()))
-            write_latencies(latency_rows(arrived), batch_id, latencies, files)
+            write_times(latency_rows(arrived), batch_id, files)
             write_partials(counted, batch_id, ledger, files)
             if rejects is not None:
                 write_rejects(turned_away, batch_id, rejects)
         finally:
             counted.unpersist()
 
+    def write_times(timed: DataFrame, batch_id: int, files: int) -> None:
+        if sketches is None:
+            write_latencies(timed, batch_id, latencies, files)
+            return
+        timed.persist()  # the log and the sketches tell of one reading of the clock
+        try:
+            write_latencies(timed, batch_id, latencies, files)
+            write_sketches(timed, batch_id, sketches, sketch_size)
+        finally:
+            timed.unpersist()
+
     return _start(
         votes.writeStream.foreachBatch(flush),
         votes.sparkSession,
