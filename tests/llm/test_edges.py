@@ -1,7 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
 import hashlib
-import os
 import zlib
 
 import public_tokenizers
@@ -23,9 +22,6 @@ from votestream.llm.suffix_dedup import without_repeats
 from votestream.llm.token_files import read_token_ids, token_index, write_token_ids
 from votestream.llm.toxicity import Lexicon, learn, with_scores
 
-#: Takes minutes, and has not been run to its end.
-slow = pytest.mark.skipif(not os.environ.get("SLOW_TESTS"), reason="SLOW_TESTS is not set")
-
 LONG = " ".join(f"word{i} of{i % 7}" for i in range(60_000))
 PASSAGE = " ".join(f"shared{i}" for i in range(70))
 
@@ -106,7 +102,6 @@ def test_token_files(spark, odd, none, tmp_path):
     assert token_index(spark, str(tmp_path / "none")).count() == 0
 
 
-@slow
 def test_suffixes(odd, none, documents):
     found = without_repeats(odd).collect()
     cut = [(r.doc_id, r.n_bytes, [tuple(s) for s in r.spans]) for r in found]
@@ -191,7 +186,6 @@ def test_lines(spark, documents, none, odd):
     assert pairs(merged_sketches(*halves), "line", count) == pairs(site_sketches(lines), "line", count)
 
 
-@slow
 def test_quality(odd, none, documents):
     found = quality(odd).collect()
     assert len(found) == 9
@@ -200,14 +194,14 @@ def test_quality(odd, none, documents):
     assert of_quality(odd).columns == odd.columns
     assert pairs(of_quality(odd), "doc_id") == [(1,), (2,), (2,), (5,), (7,)]
     assert quality(none).count() == 0 and of_quality(none).count() == 0
-    prose = ["The quick fox number%d jumps over one lazy dog%d." % (i, i) for i in range(12)]
+    # No three words in a row come twice: the base rules pass them.
+    prose = ["Fox%d jumped%d over one lazy%d dog%d." % (i, i, i, i) for i in range(12)]
     rows = [(k, " ".join(f"{s} {k}w{i}" for i, s in enumerate(prose)), "en", "a") for k in range(150)]
     rows.append((999, " ".join(f"{w}$$$###" for w in rows[0][1].split()), "en", "a"))
     kept = {r.doc_id for r in quality(documents(*rows)).where("kept").collect()}
     assert kept == set(range(150))
 
 
-@slow
 def test_near_duplicates(odd, none, documents):
     found = near_duplicates(odd)
     assert len(found.columns) == 4
@@ -232,7 +226,6 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
-@slow
 def test_stages(spark, small, odd, none):
     for docs, rows in ((odd, 9), (none, 0)):
         for name, stage in corpus_pipeline.STAGES:

@@ -1,6 +1,5 @@
 """Every query over the smallest tables, against SQL or plain Python."""
 
-import os
 import zlib
 from pathlib import Path
 
@@ -16,9 +15,6 @@ import corpus_pipeline
 from votestream.llm.line_dedup import MIN_CHARS
 from votestream.llm.queries import ORACLE_SQL, QUERIES
 
-#: Takes minutes, and has not been run to its end.
-pytestmark = pytest.mark.skipif(not os.environ.get("SLOW_TESTS"), reason="SLOW_TESTS is not set")
-
 
 def rows(query, spark, sf_dir):
     found = [tuple(r) for r in QUERIES[query](spark, sf_dir).collect()]
