@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
 
 import brute
 from votestream.llm import arrays, bpe, near_dedup, passages, suffix_dedup, toxicity
@@ -188,3 +189,23 @@ def test_folding_and_exceptions():
     assert lexicon.score("idiot") > lexicon.score("idiot " + "fine " * 200) > lexicon.score("") == lexicon.score(None)
     assert 0 <= lexicon.score("idiot " * 1000) <= 1
     assert re.fullmatch(r" ", toxicity.folded("")) and toxicity.Lexicon({}).weigh(" ") == (0.0, 0)
+
+
+def test_new_words_are_encoded_without_offsets():
+    """Many words at once give the ids that the library gives each of them, after a space and after a line feed."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, many = Tokenizer.from_file(path), _encoder(path).many
+    words = ["Ġ", "Ċ", "a\tb", "é", "\u6f22\u5b57", "don't", "x1", "...", "\U0001f600", "qzxv" * 9, "a\xa0b"]
+    for before in " ", "\n":
+        wanted = [tokenizer.encode(before + w, add_special_tokens=False).ids[before == "\n":] for w in words]
+        assert [np.frombuffer(ids, "<i4").tolist() for ids in many(words, before)] == wanted
+
+
+def test_what_a_task_has_learnt_is_forgotten():
+    """A worker that waits for other tasks holds on to the words learnt first only."""
+    learn = bpe.Bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    text = " ".join(f"word{i}\nline{i}" for i in range(500))
+    ids = learn.encode(text)
+    learn.encoder.forget(100)
+    assert len(learn.encoder.spaced) == len(learn.encoder.bare) == 100
+    assert learn.encode(text) == ids and learn.decode(ids) == text.encode()

@@ -9,9 +9,12 @@ natural text consists of few words that are repeated often. The memory is bounde
 
 import re
 from collections.abc import Callable, Sequence
+from itertools import islice
 
 #: Entries of the memory. When it is full it is emptied, so it holds what is in use.
 MEMORY = 400_000
+#: Words that outlast a task.
+KEPT = 50_000
 #: Longer pieces are encoded every time.
 LONGEST = 64
 
@@ -93,14 +96,28 @@ class Encoder:
         words = text.split(" ")
         known = list(map(self.spaced.get, words))
         known[0] = self.bare.get(words[0])
-        if None not in known:
+        new = [i for i, ids in enumerate(known) if ids is None]
+        if not new:
             return b"".join(known)
         if self.many is not None:
-            self._prepare({w for w, ids in zip(words[1:], known[1:]) if ids is None})
+            self._prepare({words[i] for i in new if i})
         try:
-            return b"".join([self.bare[words[0]], *map(self.spaced.__getitem__, words[1:])])
+            for i in new:
+                known[i] = self.spaced[words[i]] if i else self.bare[words[0]]
         except _Awkward:
             return self._with_care(text)
+        return b"".join(known)
+
+    def forget(self, keep: int = KEPT) -> None:
+        """Leaves the ``keep`` words learnt first, which are the common ones.
+
+        An idle Python worker holds on to what it has, next to whatever runs after it.
+        """
+        for memory in (self.spaced, self.bare):
+            if len(memory) > keep:
+                first = list(islice(memory.items(), keep))
+                memory.clear()
+                memory.update(first)
 
     def _prepare(self, words: set[str]) -> None:
         """Learns new words together, those within lines with a space and those that begin one without."""

@@ -43,15 +43,19 @@ def _encoder(path: str) -> Encoder:
         ids = tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}i", *ids)
 
+    # The separators are the only spaces, or the only line feeds, in what is encoded; each begins a token.
+    begins = {" ": np.zeros(tokenizer.get_vocab_size(), bool), "\n": np.zeros(tokenizer.get_vocab_size(), bool)}
+    for token, i in tokenizer.get_vocab().items():
+        begins[" "][i], begins["\n"][i] = token.startswith("Ġ"), token == "Ċ"
+
     def many(words: list[str], before: str) -> list[bytes]:
-        found = tokenizer.encode(before + before.join(words), add_special_tokens=False)
-        # A token belongs to the first word that ends where it does or later.
-        ends = np.cumsum([len(w) + 1 for w in words])
-        owner = np.searchsorted(ends, [end for _, end in found.offsets])
-        ids = np.array(found.ids, "<i4").tobytes()
-        cuts = (4 * np.searchsorted(owner, np.arange(len(words) + 1))).tolist()
-        skip = 4 if before == "\n" else 0  # a line feed is a token of its own
-        return [ids[a + skip : b] for a, b in zip(cuts[:-1], cuts[1:])]
+        # Offsets, which this call leaves out, take a third of the time.
+        found = tokenizer.encode_batch_fast([before + before.join(words)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<i4")
+        at = np.flatnonzero(begins[before][ids])
+        skip = 1 if before == "\n" else 0  # a line feed is a token of its own
+        cuts, ids = (4 * np.append(at, len(ids))).tolist(), ids.tobytes()
+        return [ids[a + 4 * skip : b] for a, b in zip(cuts[:-1], cuts[1:])]
 
     return Encoder(whole, many, added, MEMORY)
 
