@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, types as T
 from .pretokens import Encoder
 from .shipping import in_arrow
 
+#: Rows that are encoded or decoded before they are handed on.
+ROWS = 1_000
 # Letters without case mapping or composition that a normaliser could touch.
 FIRST_CHARACTER = 0x4E00
 _SPELT = {b: FIRST_CHARACTER + b for b in range(256)}
@@ -89,7 +91,7 @@ class Bpe:
     """Encodes and decodes with the vocabulary in ``path``; ids are 32-bit integers."""
 
     def __init__(self, path: str, pattern: str):
-        self.pieces = read_ranks(path)
+        self.pieces = _pieces(path)
         self.whole = {piece: struct.pack("<I", i) for i, piece in enumerate(self.pieces)}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialised_model(self.pieces))
         self.pattern = regex.compile(pattern)
@@ -109,8 +111,16 @@ class Bpe:
         return self.encoder.encode(text)
 
     def decode(self, ids: bytes) -> bytes:
-        pieces = self.pieces
-        return b"".join([pieces[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return decoded(self.pieces, ids)
+
+
+def decoded(pieces: list[bytes], ids: bytes) -> bytes:
+    return b"".join([pieces[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
+@cache
+def _pieces(path: str) -> list[bytes]:
+    return read_ranks(path)
 
 
 @cache
@@ -130,9 +140,12 @@ def encode_texts(documents: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def encode(batches):
         bpe = _bpe(path, pattern)
-        for batch in batches:
+        bpe.encoder.forget()  # a task that was ended early may have left more
+        for batch in _slices(batches):
             ids = [bpe.encode(text or "") for text in _texts(batch.column(text_at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], schema.names)
+        bpe.encoder.forget()
+        pa.default_memory_pool().release_unused()
 
     return in_arrow(rows, encode, schema)
 
@@ -144,14 +157,22 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def decode(batches):
-        bpe = _bpe(path, pattern)
-        for batch in batches:
-            texts = [bpe.decode(ids.as_py() or b"") for ids in batch.column(ids_at)]
+        pieces = _pieces(path)
+        for batch in _slices(batches):
+            texts = [decoded(pieces, ids.as_py() or b"") for ids in batch.column(ids_at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], schema.names)
+        pa.default_memory_pool().release_unused()
 
     return in_arrow(rows, decode, schema)
 
 
+def _slices(batches):
+    """Batches of ``ROWS`` rows at most: results are held for one at a time, and idle workers keep what they held."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            yield batch.slice(first, ROWS)
+
+
 def _texts(column: pa.Array):
     """One at a time, so that a batch is not held twice."""
     return (value.as_py() for value in column)
