@@ -22,6 +22,9 @@ LONGEST = 64
 _DOUBTFUL = "\x1c\x1d\x1e\x1f\x85\u180e\u200b\u2060\ufeff"
 _SAFE = rf"[^\s{_DOUBTFUL}]"
 _CUT = re.compile(rf"(?<={_SAFE}) (?={_SAFE})")
+#: Marks at the end of a word, and characters that are letters for every library.
+_MARKS = ".,;:!?"
+_LETTERS = frozenset(c for c in map(chr, range(0x100)) if c.isalpha() and c not in "\xaa\xb5\xba")
 
 
 class _Awkward(Exception):
@@ -61,7 +64,8 @@ class Encoder:
     """``encode`` gives the ids of a text as bytes, by a function that encodes any text.
 
     ``many``, if given, encodes a list of words at once, which is faster where calls are dear:
-    with a space before each, or as they are, for which it may put line feeds between them. A text
+    with a space before each, or as they are, for which it may put line feeds between them. With it a
+    mark between a letter and the end of a word must be a piece; so words are learnt without it. A text
     in which one of ``added`` occurs is encoded in one go. At most ``memory`` words are remembered.
     """
 
@@ -74,6 +78,7 @@ class Encoder:
         self.whole, self.many, self.added, self.memory = whole, many, added, memory
         self.spaced, self.bare = _Spaced(self), _Bare(self)
         self.line_feed = whole("\n")
+        self.marks = {mark: whole(mark) for mark in _MARKS}
 
     def learn(self, memory: dict, word: str, before: str) -> bytes:
         if "\n" in word:
@@ -96,9 +101,9 @@ class Encoder:
         words = text.split(" ")
         known = list(map(self.spaced.get, words))
         known[0] = self.bare.get(words[0])
-        new = [i for i, ids in enumerate(known) if ids is None]
-        if not new:
+        if None not in known:
             return b"".join(known)
+        new = [i for i, ids in enumerate(known) if ids is None]
         if self.many is not None:
             self._prepare({words[i] for i in new if i})
         try:
@@ -123,16 +128,25 @@ class Encoder:
         """Learns new words together, those within lines with a space and those that begin one without."""
         spaced, bare = set(), set()
         for word in words:
+            if word.isalnum() or (word[:-1].isalnum() and word[-1] in _MARKS):
+                spaced.add(word)  # certainly solid
+                continue
             first, *rest = word.split("\n")
             if all(map(_solid, (first, *rest))):
                 spaced.add(first)
                 bare.update(rest)
         for memory, new, before in ((self.spaced, spaced, " "), (self.bare, bare, "\n")):
-            new = [w for w in new if len(w) <= LONGEST and w not in memory]
+            new = {w for w in new if w not in memory and len(w) <= LONGEST}
+            marked = [w for w in new if w[-1] in _MARKS and w[-2:-1] in _LETTERS]
+            new.difference_update(marked)
+            new.update([stem for w in marked if (stem := w[:-1]) not in memory])
+            if len(memory) + len(new) + len(marked) > self.memory:
+                memory.clear()
             if len(new) > 1:
-                if len(memory) + len(new) > self.memory:
-                    memory.clear()
+                new = list(new)
                 memory.update(zip(new, self.many(new, before)))
+            for word in marked:
+                memory[word] = memory[word[:-1]] + self.marks[word[-1]]
 
     def _with_care(self, text: str) -> bytes:
         pieces = _CUT.split(text)
